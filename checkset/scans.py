@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from checkset import query, table
 from tidemark.functions.text import array_text, decoded_path, time_text
 from tidemark.operators.mapping import apply_mapping
-from tidemark.operators.revisions import data_assets
+from tidemark.operators.revisions import is_manifest
 from tidemark.schemas import CORRUPT, KEYS, MAPPED_FIELD
 from tidemark.session import scratch
 from tidemark.sinks.csv import CSV_OPTIONS, write_csv, write_named_csv
@@ -41,7 +41,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All data files of all revisions: one scan, file-to-asset join, mapping."""
     root = scratch(spark, "files")
     write_data_files(spark, sf_dir, root)
-    assets = data_assets(list_assets(spark, root), "bucket").select(*KEYS, "asset.key")
+    listing = list_assets(spark, root)
+    assets = listing.where(~is_manifest(F.col("name"))).select(*KEYS, "file_path")
     return apply_mapping(scan_assets(assets, root), keep=KEYS)
 
 

@@ -13,6 +13,7 @@ from tidemark.operators.status import (
     pending_jobs,
     unsettled_jobs,
 )
+from tidemark.plans.gate import gate_and_route
 
 # Order status as run state: F finished well, P failed, O is still running.
 RUN_STATE_SQL = "CASE o_orderstatus WHEN 'F' THEN 'SUCCEEDED' WHEN 'P' THEN 'FAILED' ELSE 'RUNNING' END"
@@ -127,3 +128,16 @@ def newest_run_per_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 def newest_run_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one newest run."""
     return newest_run(runs(spark, sf_dir), ["started_at", "run_id"]).drop("started_at")
+
+
+@query(
+    f"""SELECT o_custkey AS job_name, {RUN_STATE_SQL} AS run_state, {ACTION_SQL} AS action_status,
+               true AS check_status,
+               CASE {ACTION_SQL} WHEN 'SUCCEEDED' THEN 'wait' WHEN 'FAILED' THEN 'fail' ELSE 'poll' END AS next_step
+        FROM orders
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1"""
+)
+def gated_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest run, action and next step of every job, five minutes past the hour."""
+    at = F.lit("2024-02-01 07:05:00").cast("timestamp")
+    return gate_and_route(runs(spark, sf_dir), at, order=("started_at", "run_id"))

@@ -39,7 +39,7 @@ from tidemark.operators.state import (
 from tidemark.schemas import CORRUPT, KEYS, MESSAGE_LIMIT_BYTES, SUCCESS
 from tidemark.sinks.csv import name_folders, write_csv, written_folders
 from tidemark.sinks.messages import write_messages
-from tidemark.sources.assets import list_files, scan_assets, scan_folders
+from tidemark.sources.assets import locate_assets, scan_assets, scan_folders
 
 #: Partition columns of the CSV output: one folder per asset.
 CSV_BY = [*KEYS, "asset_stem"]
@@ -115,32 +115,29 @@ def _reject(df: DataFrame, reason: str) -> DataFrame:
     return df.select(*KEYS, F.lit(reason).alias("reason"))
 
 
-def _rejected(feed: Feed, ready: DataFrame, assets: DataFrame) -> DataFrame:
+def _rejected(ready: DataFrame, assets: DataFrame) -> DataFrame:
     """Ready revisions that cannot be exported as they stand; they stay READY."""
-    present = list_files(assets.sparkSession, feed.root, folders=_existing(feed, assets))
-    missing = assets.join(present.select("key"), "key", "left_anti")
     return (
         _reject(ready.where("n_data_files = 0"), "no data files")
-        .unionByName(_reject(missing, "missing file"))
+        .unionByName(_reject(assets.where("file_path IS NULL"), "missing or empty file"))
         .unionByName(_reject(clashing_names(assets, CSV_BY), "name clash"))
         .groupBy(*KEYS)
         .agg(F.max("reason").alias("reason"))
     )
 
 
-def _existing(feed: Feed, assets: DataFrame) -> list[str] | None:
+def _existing_folders(assets: DataFrame, root: str) -> list[str] | None:
     """Asset folders that exist; a missing one must become a reject, not a failure."""
-    folders = scan_folders(assets, feed.root)
-    if folders is None:
-        return None
-    spark = assets.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    kept = [f for f in folders if path(f).getFileSystem(conf).exists(path(f))]
-    return kept or None
+    jvm, context = assets.sparkSession._jvm, assets.sparkSession.sparkContext
+
+    def exists(folder: str) -> bool:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
+
+    return [f for f in scan_folders(assets, root) or [] if exists(f)] or None
 
 
-def _write_csv(feed: Feed, assets: DataFrame, batch: int) -> tuple[DataFrame, dict]:
+def _write_csv(feed: Feed, assets: DataFrame, folders: list[str] | None, batch: int) -> tuple[DataFrame, dict]:
     """All assets through one scan, one mapping and one write; returns their CSV keys.
 
     The rows never shuffle: each scan task writes the parts of the files it read.
@@ -148,7 +145,7 @@ def _write_csv(feed: Feed, assets: DataFrame, batch: int) -> tuple[DataFrame, di
     """
     spark = assets.sparkSession
     lines = Observation("lines")
-    scanned = scan_assets(assets.select(*CSV_BY, "key"), feed.root).observe(
+    scanned = scan_assets(assets.select(*CSV_BY, "file_path"), feed.root, folders=folders).observe(
         lines, F.count(F.lit(1)).alias("n_lines"), F.count(CORRUPT).alias("n_corrupt")
     )
     rows = apply_mapping(scanned.where(F.col(CORRUPT).isNull()), feed.mappings, keep=CSV_BY)
@@ -178,14 +175,16 @@ def export(feed: Feed, spark: SparkSession, batch: int, clock: datetime) -> dict
     ready = _stored(ready_revisions(state, feed.datasets), feed.folder("ready", batch))
     found = assets_of(read_asset_log(spark, feed.asset_log), broadcast_if_small(ready.select(*KEYS, "batch")))
     target = revision_prefix(feed.csv_prefix, F.lit(clock), F.col("dataset_id"), F.col("revision_id"))
-    assets = _stored(
+    wanted = _stored(
         data_assets(found, feed.bucket)
         .withColumn("asset_stem", file_stem(F.col("name")))
         .withColumn("key", F.col("asset.key"))
         .withColumn("csv_key", F.concat(target, "asset_stem", F.lit(".csv"))),
         feed.folder("ready_assets", batch),
     )
-    rejects = _stored(_rejected(feed, ready, assets), feed.folder("rejects", batch))
+    folders = _existing_folders(wanted, feed.root)
+    assets = _stored(locate_assets(wanted, feed.root, folders), feed.folder("located_assets", batch))
+    rejects = _stored(_rejected(ready, assets), feed.folder("rejects", batch))
     accepted = _stored(
         assets.join(broadcast_if_small(rejects), KEYS, "left_anti"), feed.folder("exported_assets", batch)
     )
@@ -193,7 +192,7 @@ def export(feed: Feed, spark: SparkSession, batch: int, clock: datetime) -> dict
     if accepted.isEmpty():
         written = accepted
     else:
-        written, counts = _write_csv(feed, accepted, batch)
+        written, counts = _write_csv(feed, accepted, folders, batch)
         written = _stored(written, feed.folder("csv_assets", batch))
 
     csv_asset = asset_descriptor(feed.bucket, F.col("csv_key"))

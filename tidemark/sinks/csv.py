@@ -6,6 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemark.functions.text import parent
 from tidemark.sources.assets import list_files, path_segment
@@ -14,6 +15,15 @@ from tidemark.sources.assets import list_files, path_segment
 CSV_OPTIONS = {"header": "true", "escape": '"'}
 
 
+def _without_blank_lines(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """A NULL alone in its row would be a blank line, which the CSV writer leaves out;
+    as an empty text the row is written (``""``) and read again."""
+    fields = [f for f in df.schema.fields if f.name not in partition_by]
+    if len(fields) != 1 or not isinstance(fields[0].dataType, StringType):
+        return df
+    return df.fillna("", subset=[fields[0].name])
+
+
 def write_csv(
     df: DataFrame,
     path: str,
@@ -27,6 +37,7 @@ def write_csv(
     By default every task writes what it holds, so no row moves and no key is too
     hot. ``single_file`` gathers everything into one task; it is for small output.
     """
+    df = _without_blank_lines(df, partition_by)
     writer = (df.coalesce(1) if single_file else df).write.mode(mode).options(**CSV_OPTIONS)
     if max_records_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
@@ -50,7 +61,7 @@ def written_folders(spark: SparkSession, path: str, by: Sequence[str]) -> DataFr
 def _place(spark: SparkSession, source: str | None, target: str, header: str) -> None:
     """Move one file or folder to its final name, replacing what a replay left there.
 
-    Without a source the asset had no rows and gets a file holding the header only.
+    Without a source the asset gave no rows and gets a file holding the header only.
     """
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     dst = path(target)

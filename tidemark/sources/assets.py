@@ -26,10 +26,13 @@ def path_segment(path: Column, index: int) -> Column:
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*", folders: Sequence[str] | None = None) -> DataFrame:
-    """(key, bytes, modified_at) of the files below ``root``, or below ``folders`` of it.
+    """(key, file_path, bytes, modified_at) of the files below ``root``, or below
+    ``folders`` of it.
 
     Only metadata is read: without its ``content`` column the ``binaryFile`` source
-    opens no file.
+    opens no file. ``file_path`` is the text every other Spark scan of the same file
+    reports, ``key`` the readable name below ``root``. Spark lists no empty files:
+    they hold no records.
     """
     return (
         spark.read.format("binaryFile")
@@ -38,6 +41,7 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*", folders: Sequ
         .load(list(folders) if folders else root)
         .select(
             relative_key(F.col("path"), root).alias("key"),
+            F.col("_metadata.file_path").alias("file_path"),
             F.col("length").alias("bytes"),
             F.col("modificationTime").alias("modified_at"),
         )
@@ -56,6 +60,7 @@ def list_assets(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame
         F.lit(None).cast("long").alias("pos"),
         base_name(key).alias("name"),
         "key",
+        "file_path",
         "bytes",
         "modified_at",
     )
@@ -65,7 +70,7 @@ def scan_folders(assets: DataFrame, root: str, max_folders: int = 1000) -> list[
     """Folders of the assets while they are few and plainly named, else None.
 
     At most ``max_folders + 1`` names reach the driver. The folders only narrow what
-    is listed; which rows count is decided by a join on ``key``.
+    is listed; which files count is decided by a join.
     """
     found = assets.select(parent(F.col("key")).alias("f")).distinct().limit(max_folders + 1).collect()
     names = [row["f"] for row in found]
@@ -74,20 +79,29 @@ def scan_folders(assets: DataFrame, root: str, max_folders: int = 1000) -> list[
     return [f"{root.rstrip('/')}/{n}" for n in names]
 
 
+def locate_assets(assets: DataFrame, root: str, folders: Sequence[str] | None = None) -> DataFrame:
+    """``assets`` with the ``file_path`` and ``bytes`` of the file under their ``key``.
+
+    Both are NULL when there is no such file or it is empty.
+    """
+    files = list_files(assets.sparkSession, root, folders=folders).select("key", "file_path", "bytes")
+    return assets.join(files, "key", "left")
+
+
 def scan_assets(
     assets: DataFrame,
     root: str,
     schema: T.StructType = HEARTBEAT,
     broadcast_bytes: int = BROADCAST_BYTES,
-    max_folders: int = 1000,
+    folders: Sequence[str] | None = None,
 ) -> DataFrame:
     """Rows of every listed file, beside the columns of its asset row.
 
-    One scan serves all assets. Each row's own file path is joined to ``key``; the
-    asset side is broadcast when its measured size allows, so the rows themselves
-    do not move. ``assets`` should be a written table: it is measured and joined.
+    One scan serves all assets. Each row's own file path is joined as it is to the
+    asset's ``file_path`` (see ``locate_assets``), so no text is worked on per row;
+    the asset side is broadcast when its measured size allows, and then the rows do
+    not move. Give a listing or a written table: it is measured, then joined.
     """
-    rows = read_json_lines(
-        assets.sparkSession, scan_folders(assets, root, max_folders) or root, schema, recursive=True
-    ).withColumn("key", relative_key(decoded_path(F.col("_metadata.file_path")), root))
-    return rows.join(broadcast_if_small(assets, broadcast_bytes), "key")
+    rows = read_json_lines(assets.sparkSession, list(folders or [root]), schema, recursive=True)
+    rows = rows.withColumn("file_path", F.col("_metadata.file_path"))
+    return rows.join(broadcast_if_small(assets, broadcast_bytes), "file_path")

@@ -62,8 +62,13 @@ def stream_json_lines(
 
 
 def corrupt_summary(lines: DataFrame) -> DataFrame:
-    """One row: how many lines were read and how many did not parse."""
+    """One row: how many lines were read and how many did not parse.
+
+    All fields are referenced, so that a value of the wrong type in any of them
+    counts: a field that is pruned is not checked.
+    """
+    fields = F.struct(*[c for c in lines.columns if c != CORRUPT])
     return lines.agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.count(CORRUPT).alias("n_corrupt"),
+        F.count(F.when(F.col(CORRUPT).isNotNull(), F.to_json(fields))).alias("n_corrupt"),
     )
