@@ -39,10 +39,20 @@ def part_files(spark: SparkSession, sf_dir: str) -> DataFrame:
        FROM texts"""
 )
 def revision_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One message per revision, split at the size limit; rejects keep their row."""
-    sent, rejected = split_oversize(outbound_messages(part_files(spark, sf_dir)))
-    return sent.select("revision_id", F.lit(True).alias("sent"), "message").unionByName(
-        rejected.select("revision_id", F.lit(False).alias("sent"), F.lit(None).cast("string").alias("message"))
+    """One message per revision; those over the size limit keep their row without text."""
+    sent = F.coalesce(fits(F.col("message")), F.lit(False))
+    return outbound_messages(part_files(spark, sf_dir)).select(
+        "revision_id", sent.alias("sent"), F.when(sent, F.col("message")).alias("message")
+    )
+
+
+@query("SELECT doc_id, octet_length(encode(text)) <= 2048 AS sent FROM documents")
+def split_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that can be sent and rows that cannot, as two outputs."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sent, rejected = split_oversize(documents, message="text")
+    return sent.select("doc_id", F.lit(True).alias("sent")).unionByName(
+        rejected.select("doc_id", F.lit(False).alias("sent"))
     )
 
 

@@ -15,7 +15,7 @@ from tidemark.plans.feed import Feed, feed_state, run_batch
 from tidemark.schemas import KEYS
 from tidemark.session import scratch
 from tidemark.sinks.csv import CSV_OPTIONS
-from tidemark.sources.assets import list_assets, path_segment
+from tidemark.sources.assets import list_requested, path_segment
 from tidemark.sources.events import stream_events
 from tidemark.sources.json_lines import stream_json_lines
 from tidemark.streaming.dedup import dedup_events_stream
@@ -82,7 +82,9 @@ def _feed(spark: SparkSession, sf_dir: str, **choices) -> Feed:
 
 
 def _listing(feed: Feed):
-    return lambda spark: list_assets(spark, f"{feed.root}/in").withColumn("key", F.concat(F.lit("in/"), "key"))
+    return lambda requested: list_requested(
+        requested, feed.root, "in/dataset_id={dataset_id}/revision_id={revision_id}"
+    )
 
 
 def _outcome(spark: SparkSession, feed: Feed) -> DataFrame:
@@ -104,7 +106,7 @@ def _outcome(spark: SparkSession, feed: Feed) -> DataFrame:
 def feed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole feed as one batch, partitioned CSV: events in, state and CSV out."""
     feed = _feed(spark, sf_dir, named=False)
-    run_batch(feed, _requests(spark, sf_dir), _listing(feed)(spark), 0, datetime(2024, 2, 1, 5))
+    run_batch(feed, _requests(spark, sf_dir), _listing(feed), 0, datetime(2024, 2, 1, 5))
     return _outcome(spark, feed)
 
 

@@ -100,3 +100,11 @@ def test_dedup_keeps_earliest_and_survives_a_hot_body(spark, rows):
 def test_dedup_compares_whole_bodies(spark, text):
     df = spark.createDataFrame([("g", text + "1", 1), ("g", text + "2", 2), ("g", text + "1", 3)], "g string, b string, n int")
     assert sorted(r["n"] for r in dedup_events(df, ["g"], "b", ["n"]).collect()) == [1, 2]
+
+
+def test_each_body_is_parsed_once(spark, plan):
+    from tidemark.operators.events import event_rule, requested_revisions
+
+    opened = open_envelopes(raw(spark, queue(body())))
+    wanted = opened.where(F.col("manual").isNotNull() | event_rule(F.col("event"), ["feed"], ["published"], ["d1"]))
+    assert plan(requested_revisions(wanted)).count("from_json(") == 2

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import tidemark.plans.feed as plans
 from tidemark.plans.feed import Feed, feed_state, run_batch
 from tidemark.schemas import LISTING
-from tidemark.sources.assets import list_assets
+from tidemark.sources.assets import list_assets, list_requested
 from tidemark.sources.events import stream_events
 from tidemark.streaming.dedup import dedup_events_stream
 from tidemark.streaming.feed import run_stream
@@ -53,7 +53,7 @@ def feed(tmp_path):
 
 
 def listing(feed):
-    return lambda spark: list_assets(spark, f"{feed.root}/in").withColumn("key", F.concat(F.lit("in/"), "key"))
+    return lambda requested: list_requested(requested, feed.root, "in/*/*/*/*/{dataset_id}/{revision_id}")
 
 
 def raw(spark, *values):
@@ -86,7 +86,7 @@ def outcome(spark, feed):
 
 
 def test_batch(spark, feed):
-    counts = run_batch(feed, raw(spark), listing(feed)(spark), 0, CLOCK)
+    counts = run_batch(feed, raw(spark), listing(feed), 0, CLOCK)
     assert counts == {"n_lines": 6, "n_corrupt": 2}
     header = "timestampssincelastrevision"
     assert csv_lines(feed) == {
@@ -123,9 +123,9 @@ def test_batch(spark, feed):
 
 
 def test_repeating_a_batch_changes_nothing(spark, feed):
-    run_batch(feed, raw(spark), listing(feed)(spark), 0, CLOCK)
+    run_batch(feed, raw(spark), listing(feed), 0, CLOCK)
     before = outcome(spark, feed)
-    run_batch(feed, raw(spark), listing(feed)(spark), 0, CLOCK)
+    run_batch(feed, raw(spark), listing(feed), 0, CLOCK)
     assert outcome(spark, feed) == before
 
 
@@ -141,22 +141,22 @@ def test_repeating_after_a_crash(spark, feed, tmp_path, monkeypatch, step):
 
     monkeypatch.setattr(plans, step, crash)
     with pytest.raises(RuntimeError):
-        run_batch(feed, raw(spark), listing(feed)(spark), 0, CLOCK)
+        run_batch(feed, raw(spark), listing(feed), 0, CLOCK)
     monkeypatch.setattr(plans, step, real)
-    run_batch(feed, raw(spark), listing(feed)(spark), 0, CLOCK)
+    run_batch(feed, raw(spark), listing(feed), 0, CLOCK)
     got = outcome(spark, feed)
     clean = replace(feed, root=str(tmp_path / "root2"), work=str(tmp_path / "work2"))
     shutil.copytree(f"{feed.root}/in", f"{clean.root}/in")
-    run_batch(clean, raw(spark), listing(clean)(spark), 0, CLOCK)
+    run_batch(clean, raw(spark), listing(clean), 0, CLOCK)
     assert got == outcome(spark, clean)
 
 
 def test_later_batches_take_only_what_is_ready(spark, feed):
-    run_batch(feed, raw(spark, ENVELOPES[0]), listing(feed)(spark), 0, CLOCK)
-    counts = run_batch(feed, raw(spark, ENVELOPES[1]), listing(feed)(spark), 1, CLOCK)
+    run_batch(feed, raw(spark, ENVELOPES[0]), listing(feed), 0, CLOCK)
+    counts = run_batch(feed, raw(spark, ENVELOPES[1]), listing(feed), 1, CLOCK)
     assert counts == {"n_lines": 0, "n_corrupt": 0}
     again = json.dumps({"InitialInit": {"data_set_id": "d2", "RevisionIds": "r4"}})
-    counts = run_batch(feed, raw(spark, again), listing(feed)(spark), 2, CLOCK)
+    counts = run_batch(feed, raw(spark, again), listing(feed), 2, CLOCK)
     assert counts["n_lines"] == 1
     assert state(spark, feed)[("d2", "r4")]["batch"] == 2
     assert "2021/6/22/0/d2/r4/ü d.csv" in csv_lines(feed)
@@ -165,12 +165,12 @@ def test_later_batches_take_only_what_is_ready(spark, feed):
 def test_rejects_keep_their_revision_ready(spark, feed, tmp_path):
     clash = tmp_path / "root" / "in" / "2021" / "6" / "21" / "16" / "d1" / "r2" / "c.txt"
     clash.write_text("{}\n")
-    listed = listing(feed)(spark).select("dataset_id", "revision_id", "pos", "name", "key")
+    listed = list_assets(spark, feed.root).select("dataset_id", "revision_id", "pos", "name", "key")
     gone = spark.createDataFrame(
         [("d2", "r4", None, "gone.json", "in/nowhere/gone.json")], listed.schema
     )
     asked = raw(spark, *ENVELOPES, json.dumps({"InitialInit": {"data_set_id": "d2", "RevisionIds": "r4"}}))
-    run_batch(feed, asked, listed.unionByName(gone), 0, CLOCK)
+    run_batch(feed, asked, lambda requested: listed.unionByName(gone), 0, CLOCK)
     rejects = spark.read.parquet(f"{feed.work}/rejects").select("revision_id", "reason").collect()
     assert sorted(tuple(r) for r in rejects) == [
         ("r2", "name clash"),
@@ -187,11 +187,12 @@ def test_rejects_keep_their_revision_ready(spark, feed, tmp_path):
 
 
 def test_listing_without_keys_composes_them(spark, feed):
-    flat = listing(feed)(spark).select("dataset_id", "revision_id", "name").collect()
+    flat = list_assets(spark, feed.root).select("dataset_id", "revision_id", "name").collect()
     rows = [(r["dataset_id"], r["revision_id"], i, r["name"]) for i, r in enumerate(flat)]
     rows.append(("d1", "r2", 99, "empty.json"))
     at = datetime(2021, 6, 21, 16)
-    run_batch(replace(feed, prefix="in"), raw(spark), spark.createDataFrame(rows, LISTING), 0, at)
+    listed = spark.createDataFrame(rows, LISTING)
+    run_batch(replace(feed, prefix="in"), raw(spark), lambda requested: listed, 0, at)
     got = state(spark, feed)
     assert got[("d1", "r1")]["status"] == "SUCCESS"
     assert got[("d1", "r2")]["status"] == "READY"
@@ -200,7 +201,7 @@ def test_listing_without_keys_composes_them(spark, feed):
 
 
 def test_partitioned_output_and_progress_messages(spark, feed):
-    run_batch(replace(feed, named=False, mode="progress"), raw(spark), listing(feed)(spark), 0, CLOCK)
+    run_batch(replace(feed, named=False, mode="progress"), raw(spark), listing(feed), 0, CLOCK)
     got = [json.loads(m)["dataFilesMap"]["heartbeat"] for m in messages(spark, feed)]
     assert len(got) == 4
     done = [sum(a["key"] is None or a["key"].startswith("heartbeat_csv/batch=0/") for a in m) for m in got]
@@ -222,7 +223,7 @@ def test_stream_equals_batch(spark, feed, tmp_path):
         if i:
             run()
     run()
-    run_batch(feed, raw(spark), listing(feed)(spark), 0, CLOCK)
+    run_batch(feed, raw(spark), listing(feed), 0, CLOCK)
     batch, stream = outcome(spark, feed), outcome(spark, streamed)
 
     def below_hour(lines):

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 from tidemark.operators.mapping import HEARTBEAT_MAPPING, apply_mapping
 from tidemark.operators.sizing import broadcast_if_small
 from tidemark.sinks.csv import CSV_OPTIONS, write_csv, write_named_csv
-from tidemark.sources.assets import list_assets, list_files, locate_assets, scan_assets, scan_folders
+from tidemark.sources.assets import list_assets, list_files, list_requested, locate_assets, scan_assets, scan_folders
 from tidemark.sources.events import read_events
 from tidemark.sources.json_lines import corrupt_summary, read_json_lines, read_variant_lines
 
@@ -118,6 +118,17 @@ def test_scan_reads_just_the_listed_files(spark, tree, rows, plan, limit, narrow
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("limit", [0, 1, 1000])
+def test_listing_of_requested_revisions(spark, tree, rows, limit):
+    layout = "in/*/*/*/*/{dataset_id}/{revision_id}"
+    asked = spark.createDataFrame(
+        [("ds 1", "r+1"), ("ds 1", "r+1"), ("ds2", "none")], "dataset_id string, revision_id string"
+    )
+    got = list_requested(asked, tree, layout, limit)
+    assert rows(got, "revision_id", "name") == [("r+1", "manifest.json"), ("r+1", "ü a%20.json")]
+    assert list_requested(asked.where("revision_id = 'none'"), tree, layout, limit).isEmpty()
+
+
 def test_scan_folders_are_bounded(spark, tree):
     assets = spark.createDataFrame([("a/1.json",), ("b/1.json",), ("a/2.json",)], "key string")
     assert sorted(scan_folders(assets, tree)) == [f"{tree}/a", f"{tree}/b"]

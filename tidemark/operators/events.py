@@ -42,24 +42,23 @@ def open_envelopes(raw: DataFrame, value: str = "value", last_only: bool = False
     """One row per queue record or manual start, with the parsed ``event``.
 
     A manual start wins when both shapes are present. ``last_only`` keeps the last
-    record of each envelope; by default every record counts.
+    record of each envelope; by default every record counts. Bodies are parsed
+    before the records are unnested: a later filter on ``event`` then reads fields
+    of a finished value instead of parsing the body again for each of them.
     """
     keep = [c for c in raw.columns if c != value]
     opened = raw.select(*keep, F.from_json(value, ENVELOPE).alias("_e"))
     records = F.when(F.col("_e.InitialInit").isNull(), F.col("_e.Records"))
     if last_only:
         records = F.slice(records, F.when(F.size(records) > 0, -1).otherwise(1), 1)
+    parsed = F.transform(
+        records, lambda r: F.struct(r["body"].alias("body"), F.from_json(r["body"], EVENT).alias("event"))
+    )
     return opened.select(
         *keep,
         F.col("_e.InitialInit").alias("manual"),
-        F.posexplode_outer(records).alias("record_pos", "_r"),
-    ).select(
-        *keep,
-        "manual",
-        "record_pos",
-        F.col("_r.body").alias("body"),
-        F.from_json("_r.body", EVENT).alias("event"),
-    )
+        F.posexplode_outer(parsed).alias("record_pos", "_r"),
+    ).select(*keep, "manual", "record_pos", "_r.body", "_r.event")
 
 
 def requested_revisions(opened: DataFrame) -> DataFrame:
@@ -69,10 +68,8 @@ def requested_revisions(opened: DataFrame) -> DataFrame:
     dataset = F.when(manual, F.col("manual.data_set_id")).otherwise(first_or_null(F.col("event.resources")))
     revisions = F.when(manual, F.array("manual.RevisionIds")).otherwise(F.col("event.detail.RevisionIds"))
     return (
-        opened.select(*keep, dataset.alias("dataset_id"), revisions.alias("_ids"))
-        .where(F.col("dataset_id").isNotNull())
-        .select(*keep, "dataset_id", F.explode("_ids").alias("revision_id"))
-        .where(F.col("revision_id").isNotNull())
+        opened.select(*keep, dataset.alias("dataset_id"), F.explode(revisions).alias("revision_id"))
+        .where(F.col("dataset_id").isNotNull() & F.col("revision_id").isNotNull())
     )
 
 

@@ -5,6 +5,7 @@ same inputs by a replay, so a run that died anywhere can simply be repeated: CSV
 and state come out unchanged, messages are sent at least once.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -39,7 +40,7 @@ from tidemark.operators.state import (
 from tidemark.schemas import CORRUPT, KEYS, MESSAGE_LIMIT_BYTES, SUCCESS
 from tidemark.sinks.csv import name_folders, write_csv, written_folders
 from tidemark.sinks.messages import write_messages
-from tidemark.sources.assets import locate_assets, scan_assets, scan_folders
+from tidemark.sources.assets import existing_folders, locate_assets, scan_assets, scan_folders
 
 #: Partition columns of the CSV output: one folder per asset.
 CSV_BY = [*KEYS, "asset_stem"]
@@ -86,11 +87,16 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def intake(feed: Feed, raw: DataFrame, listing: DataFrame, batch: int, clock: datetime) -> None:
+#: From the requested (dataset_id, revision_id) rows to their files.
+Listing = Callable[[DataFrame], DataFrame]
+
+
+def intake(feed: Feed, raw: DataFrame, listing: Listing, batch: int, clock: datetime) -> None:
     """Event envelopes to READY rows.
 
-    ``listing`` holds (dataset_id, revision_id, pos, name[, key]). A revision asked
-    for twice in a batch is put once; one without listed files is a reject.
+    ``listing`` gives (dataset_id, revision_id, pos, name[, key]) of the revisions it
+    is handed; other revisions in it are ignored, so a fixed table will do. A
+    revision asked for twice in a batch is put once.
     """
     opened = open_envelopes(raw.select("value"))
     matches = event_rule(F.col("event"), feed.sources, feed.detail_types, feed.datasets)
@@ -98,9 +104,9 @@ def intake(feed: Feed, raw: DataFrame, listing: DataFrame, batch: int, clock: da
     requested = _stored(
         requested_revisions(wanted).select(*KEYS).distinct(), feed.folder("requested", batch)
     )
-    found = listing.join(broadcast_if_small(requested), KEYS, "left_semi")
+    found = listing(requested).join(broadcast_if_small(requested), KEYS, "left_semi")
     at = F.lit(clock)
-    if "key" not in listing.columns:
+    if "key" not in found.columns:
         found = found.withColumn(
             "key",
             F.concat(revision_prefix(feed.prefix, at, F.col("dataset_id"), F.col("revision_id")), F.col("name")),
@@ -126,17 +132,6 @@ def _rejected(ready: DataFrame, assets: DataFrame) -> DataFrame:
     )
 
 
-def _existing_folders(assets: DataFrame, root: str) -> list[str] | None:
-    """Asset folders that exist; a missing one must become a reject, not a failure."""
-    jvm, context = assets.sparkSession._jvm, assets.sparkSession.sparkContext
-
-    def exists(folder: str) -> bool:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
-
-    return [f for f in scan_folders(assets, root) or [] if exists(f)] or None
-
-
 def _write_csv(feed: Feed, assets: DataFrame, folders: list[str] | None, batch: int) -> tuple[DataFrame, dict]:
     """All assets through one scan, one mapping and one write; returns their CSV keys.
 
@@ -162,7 +157,7 @@ def _write_csv(feed: Feed, assets: DataFrame, folders: list[str] | None, batch:
     keyed = assets.drop("csv_key").join(
         folders.select(*CSV_BY, F.concat(F.lit(f"{place}/"), "folder").alias("csv_key")), CSV_BY, "left"
     )
-    return keyed, lines.get
+    return _stored(keyed, feed.folder("csv_assets", batch)), lines.get
 
 
 def export(feed: Feed, spark: SparkSession, batch: int, clock: datetime) -> dict:
@@ -182,7 +177,7 @@ def export(feed: Feed, spark: SparkSession, batch: int, clock: datetime) -> dict
         .withColumn("csv_key", F.concat(target, "asset_stem", F.lit(".csv"))),
         feed.folder("ready_assets", batch),
     )
-    folders = _existing_folders(wanted, feed.root)
+    folders = existing_folders(spark, scan_folders(wanted, feed.root) or []) or None
     assets = _stored(locate_assets(wanted, feed.root, folders), feed.folder("located_assets", batch))
     rejects = _stored(_rejected(ready, assets), feed.folder("rejects", batch))
     accepted = _stored(
@@ -193,7 +188,6 @@ def export(feed: Feed, spark: SparkSession, batch: int, clock: datetime) -> dict
         written = accepted
     else:
         written, counts = _write_csv(feed, accepted, folders, batch)
-        written = _stored(written, feed.folder("csv_assets", batch))
 
     csv_asset = asset_descriptor(feed.bucket, F.col("csv_key"))
     csv_lists = short_lists(written, KEYS, ["pos", "name"], csv_asset, feed.list_rows, "data_files_csv")
@@ -203,13 +197,14 @@ def export(feed: Feed, spark: SparkSession, batch: int, clock: datetime) -> dict
         update_revisions(done, changes, ["status", "data_files_csv"]), feed.state_log, batch, STEP_UPDATE
     )
 
-    sent, oversize = split_oversize(outbound_messages(written, feed.mode, feed.limit_bytes), feed.limit_bytes)
+    outbox = _stored(outbound_messages(written, feed.mode, feed.limit_bytes), feed.folder("outbox", batch))
+    sent, oversize = split_oversize(outbox, feed.limit_bytes)
     write_messages(sent, feed.folder("messages", batch))
     oversize.select(*KEYS, "pos").write.mode("overwrite").parquet(feed.folder("oversize", batch))
     return counts
 
 
-def run_batch(feed: Feed, raw: DataFrame, listing: DataFrame, batch: int, clock: datetime) -> dict:
+def run_batch(feed: Feed, raw: DataFrame, listing: Listing, batch: int, clock: datetime) -> dict:
     """Intake and export of one batch; safe to repeat with the same arguments."""
     intake(feed, raw, listing, batch, clock)
     return export(feed, raw.sparkSession, batch, clock)

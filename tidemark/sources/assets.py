@@ -48,13 +48,15 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*", folders: Sequ
     )
 
 
-def list_assets(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+def list_assets(
+    spark: SparkSession, root: str, pattern: str = "*", folders: Sequence[str] | None = None
+) -> DataFrame:
     """Files below ``root`` laid out as ``.../dataset/revision/name``.
 
     ``pos`` is NULL: names are unique within a folder and order its listing.
     """
     key = F.col("key")
-    return list_files(spark, root, pattern).select(
+    return list_files(spark, root, pattern, folders).select(
         path_segment(key, -3).alias("dataset_id"),
         path_segment(key, -2).alias("revision_id"),
         F.lit(None).cast("long").alias("pos"),
@@ -66,6 +68,40 @@ def list_assets(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame
     )
 
 
+def _plain(names: Sequence[str]) -> bool:
+    """No name would be read as a pattern."""
+    return not any(c in name for name in names for c in "*?[]{}\\")
+
+
+def existing_folders(spark: SparkSession, folders: Sequence[str]) -> list[str]:
+    """Folders a path or pattern stands for; those that are not there are left out."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        found += [s.getPath().toString() for s in path.getFileSystem(conf).globStatus(path) or []]
+    return found
+
+
+def list_requested(requested: DataFrame, root: str, layout: str, max_folders: int = 1000) -> DataFrame:
+    """Listing of the requested (dataset_id, revision_id), at the cost of those alone.
+
+    ``layout`` says where a revision's folder is below ``root``, such as
+    ``in/*/*/*/*/{dataset_id}/{revision_id}``. Up to ``max_folders`` requests are
+    looked up by folder, more by listing ``root``; both give the same rows.
+    """
+    spark = requested.sparkSession
+    wanted = requested.select("dataset_id", "revision_id").distinct()
+    names = [row.asDict() for row in wanted.limit(max_folders + 1).collect()]
+    folders = None
+    if len(names) <= max_folders and _plain([v for row in names for v in row.values()]):
+        folders = existing_folders(spark, [f"{root.rstrip('/')}/{layout.format(**row)}" for row in names])
+        if not folders:
+            return list_assets(spark, root).limit(0)
+    listed = list_assets(spark, root, folders=folders)
+    return listed.join(broadcast_if_small(wanted), ["dataset_id", "revision_id"], "left_semi")
+
+
 def scan_folders(assets: DataFrame, root: str, max_folders: int = 1000) -> list[str] | None:
     """Folders of the assets while they are few and plainly named, else None.
 
@@ -74,7 +110,7 @@ def scan_folders(assets: DataFrame, root: str, max_folders: int = 1000) -> list[
     """
     found = assets.select(parent(F.col("key")).alias("f")).distinct().limit(max_folders + 1).collect()
     names = [row["f"] for row in found]
-    if not names or len(names) > max_folders or any(c in n for n in names for c in "*?[]{}\\"):
+    if not names or len(names) > max_folders or not _plain(names):
         return None
     return [f"{root.rstrip('/')}/{n}" for n in names]
 

@@ -1,13 +1,12 @@
 """The feed as a stream: each micro-batch is one run of the batch plan."""
 
-from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.plans.feed import Feed, run_batch
+from tidemark.plans.feed import Feed, Listing, run_batch
 
 
 def batch_clock(raw: DataFrame) -> datetime:
@@ -18,7 +17,7 @@ def batch_clock(raw: DataFrame) -> datetime:
 def run_stream(
     feed: Feed,
     raw: DataFrame,
-    listing: Callable[[SparkSession], DataFrame],
+    listing: Listing,
     checkpoint: str,
     once: bool = True,
     interval: str = "1 minute",
@@ -33,7 +32,7 @@ def run_stream(
     def one_batch(df: DataFrame, batch_id: int) -> None:
         clock = batch_clock(df)
         if clock is not None:
-            run_batch(feed, df, listing(df.sparkSession), batch_id, clock)
+            run_batch(feed, df, listing, batch_id, clock)
 
     trigger = {"availableNow": True} if once else {"processingTime": interval}
     return (
