@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from checkset import query, table
 from tidemark.functions.text import content_hash
-from tidemark.operators.events import dedup_events, match_events, parse_events, unreadable_events
+from tidemark.operators.events import dedup_events, event_rule, match_events, parse_events, unreadable_events
 
 
 def event_body(source, resources, revision_ids):
@@ -44,23 +44,38 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT event_id FROM events
-       WHERE event_type IN ('click', 'error') AND CAST(json_extract(props, '$.k') AS BIGINT) >= 50
-         AND (user_id BETWEEN 10 AND 19 OR CAST(json_extract(props, '$.k') AS BIGINT) = 77)"""
+    """SELECT event_id, event_type IN ('click', 'error') AND CAST(json_extract(props, '$.k') AS BIGINT) >= 50
+         AND (hour(ts) < 12 OR CAST(json_extract(props, '$.k') AS BIGINT) = 77) AS matched
+       FROM events"""
 )
-def event_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source and type in a list, and at least one resource in a list."""
     k = F.get_json_object("props", "$.k")
-    events = table(spark, sf_dir, "events").select(
-        "event_id",
-        F.struct(
-            F.col("event_type").alias("source"),
-            F.when(k.cast("int") >= 50, "high").otherwise("low").alias("detail-type"),
-            F.array(named("u", "user_id"), F.concat(F.lit("k"), k)).alias("resources"),
-        ).alias("event"),
+    half = F.when(F.hour("ts") < 12, "morning").otherwise("evening")
+    event = F.struct(
+        F.col("event_type").alias("source"),
+        F.when(k.cast("int") >= 50, "high").otherwise("low").alias("detail-type"),
+        F.array(half, F.concat(F.lit("k"), k)).alias("resources"),
+    )
+    events = table(spark, sf_dir, "events").select("event_id", event.alias("event"))
+    rule = event_rule(F.col("event"), ["click", "error"], ["high"], ["morning", "k77"])
+    return events.select("event_id", rule.alias("matched"))
+
+
+@query(
+    """SELECT event_id FROM events
+       WHERE event_type IN ('click', 'error') AND hour(ts) >= 12"""
+)
+def matched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule as a filter."""
+    half = F.when(F.hour("ts") < 12, "morning").otherwise("evening")
+    event = F.struct(
+        F.col("event_type").alias("source"),
+        F.lit("published").alias("detail-type"),
+        F.array(half).alias("resources"),
     )
-    datasets = [f"u{n}" for n in range(10, 20)] + ["k77"]
-    return match_events(events, ["click", "error"], ["high"], datasets).select("event_id")
+    events = table(spark, sf_dir, "events").select("event_id", event.alias("event"))
+    return match_events(events, ["click", "error"], ["published"], ["evening"]).select("event_id")
 
 
 @query(

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def text_bytes(df: DataFrame) -> Column:

@@ -170,15 +170,14 @@ def export(feed: Feed, spark: SparkSession, batch: int, clock: datetime) -> dict
     ready = _stored(ready_revisions(state, feed.datasets), feed.folder("ready", batch))
     found = assets_of(read_asset_log(spark, feed.asset_log), broadcast_if_small(ready.select(*KEYS, "batch")))
     target = revision_prefix(feed.csv_prefix, F.lit(clock), F.col("dataset_id"), F.col("revision_id"))
-    wanted = _stored(
+    wanted = (
         data_assets(found, feed.bucket)
         .withColumn("asset_stem", file_stem(F.col("name")))
         .withColumn("key", F.col("asset.key"))
-        .withColumn("csv_key", F.concat(target, "asset_stem", F.lit(".csv"))),
-        feed.folder("ready_assets", batch),
+        .withColumn("csv_key", F.concat(target, "asset_stem", F.lit(".csv")))
     )
     folders = existing_folders(spark, scan_folders(wanted, feed.root) or []) or None
-    assets = _stored(locate_assets(wanted, feed.root, folders), feed.folder("located_assets", batch))
+    assets = _stored(locate_assets(wanted, feed.root, folders), feed.folder("ready_assets", batch))
     rejects = _stored(_rejected(ready, assets), feed.folder("rejects", batch))
     accepted = _stored(
         assets.join(broadcast_if_small(rejects), KEYS, "left_anti"), feed.folder("exported_assets", batch)

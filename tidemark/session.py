@@ -5,6 +5,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: Keeps streaming state (one hash per distinct body) on disk instead of on the heap.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     """Settings that results or plans depend on; sizes stay with the cluster."""
@@ -13,6 +16,7 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
 
 

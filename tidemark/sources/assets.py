@@ -1,6 +1,7 @@
 """Asset listings and the one scan that reads every listed file."""
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,14 +74,16 @@ def _plain(names: Sequence[str]) -> bool:
     return not any(c in name for name in names for c in "*?[]{}\\")
 
 
-def existing_folders(spark: SparkSession, folders: Sequence[str]) -> list[str]:
+def existing_folders(spark: SparkSession, folders: Sequence[str], threads: int = 16) -> list[str]:
     """Folders a path or pattern stands for; those that are not there are left out."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    found = []
-    for folder in folders:
+
+    def match(folder: str) -> list[str]:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        found += [s.getPath().toString() for s in path.getFileSystem(conf).globStatus(path) or []]
-    return found
+        return [s.getPath().toString() for s in path.getFileSystem(conf).globStatus(path) or []]
+
+    with ThreadPoolExecutor(threads) as pool:
+        return [found for matches in pool.map(match, folders) for found in matches]
 
 
 def list_requested(requested: DataFrame, root: str, layout: str, max_folders: int = 1000) -> DataFrame:
