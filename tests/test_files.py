@@ -118,7 +118,7 @@ def test_scan_reads_just_the_listed_files(spark, tree, rows, plan, limit, narrow
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("limit", [0, 1, 1000])
+@pytest.mark.parametrize("limit", [0, 1, 2, 1000])
 def test_listing_of_requested_revisions(spark, tree, rows, limit):
     layout = "in/*/*/*/*/{dataset_id}/{revision_id}"
     asked = spark.createDataFrame(
@@ -130,10 +130,13 @@ def test_listing_of_requested_revisions(spark, tree, rows, limit):
 
 
 def test_scan_folders_are_bounded(spark, tree):
-    assets = spark.createDataFrame([("a/1.json",), ("b/1.json",), ("a/2.json",)], "key string")
-    assert sorted(scan_folders(assets, tree)) == [f"{tree}/a", f"{tree}/b"]
-    assert scan_folders(assets, tree, max_folders=1) is None
-    assert scan_folders(spark.createDataFrame([("a*/1.json",)], "key string"), tree) is None
+    assets = spark.createDataFrame([("x/a/1.json",), ("x/b/1.json",), ("x/a/2.json",)], "key string")
+    assert sorted(scan_folders(assets, tree)) == [f"{tree}/x/a", f"{tree}/x/b"]
+    assert scan_folders(assets, tree, max_folders=1) == [f"{tree}/x"]
+    assert scan_folders(assets, tree, max_folders=0) is None
+    odd = spark.createDataFrame([("x/a*/1.json",)], "key string")
+    assert scan_folders(odd, tree) == [f"{tree}/x"]
+    assert scan_folders(assets.limit(0), tree) is None
 
 
 def test_broadcast_only_below_the_limit(spark, plan):

@@ -12,6 +12,12 @@ from tidemark.operators.sizing import BROADCAST_BYTES, broadcast_if_small
 from tidemark.schemas import HEARTBEAT
 from tidemark.sources.json_lines import read_json_lines
 
+#: Most folder names a listing or scan hands to Spark one by one.
+MAX_FOLDERS = 5000
+
+#: Levels above the assets' own folders that a narrowed scan may climb.
+MAX_LEVELS = 8
+
 
 def relative_key(path: Column, root: str) -> Column:
     """Object key of a Spark-reported path below ``root``, free of scheme and host."""
@@ -86,36 +92,52 @@ def existing_folders(spark: SparkSession, folders: Sequence[str], threads: int =
         return [found for matches in pool.map(match, folders) for found in matches]
 
 
-def list_requested(requested: DataFrame, root: str, layout: str, max_folders: int = 1000) -> DataFrame:
+def _few(df: DataFrame, limit: int) -> list[dict] | None:
+    """Distinct rows of ``df`` if there are at most ``limit``; one more is fetched to know."""
+    rows = df.distinct().limit(limit + 1).collect()
+    return [row.asDict() for row in rows] if len(rows) <= limit else None
+
+
+def list_requested(requested: DataFrame, root: str, layout: str, max_folders: int = MAX_FOLDERS) -> DataFrame:
     """Listing of the requested (dataset_id, revision_id), at the cost of those alone.
 
     ``layout`` says where a revision's folder is below ``root``, such as
     ``in/*/*/*/*/{dataset_id}/{revision_id}``. Up to ``max_folders`` requests are
-    looked up by folder, more by listing ``root``; both give the same rows.
+    looked up by folder; more by the folders of their data sets, then by listing
+    ``root``. All give the same rows.
     """
     spark = requested.sparkSession
-    wanted = requested.select("dataset_id", "revision_id").distinct()
-    names = [row.asDict() for row in wanted.limit(max_folders + 1).collect()]
+    keys = ["dataset_id", "revision_id"]
+    above = layout.split("{revision_id}")[0].rpartition("/")[0]
     folders = None
-    if len(names) <= max_folders and _plain([v for row in names for v in row.values()]):
-        folders = existing_folders(spark, [f"{root.rstrip('/')}/{layout.format(**row)}" for row in names])
-        if not folders:
-            return list_assets(spark, root).limit(0)
-    listed = list_assets(spark, root, folders=folders)
-    return listed.join(broadcast_if_small(wanted), ["dataset_id", "revision_id"], "left_semi")
-
-
-def scan_folders(assets: DataFrame, root: str, max_folders: int = 1000) -> list[str] | None:
-    """Folders of the assets while they are few and plainly named, else None.
-
-    At most ``max_folders + 1`` names reach the driver. The folders only narrow what
-    is listed; which files count is decided by a join.
+    for columns, pattern in ((keys, layout), (keys[:1], above)):
+        names = _few(requested.select(*columns), max_folders)
+        if names is not None and _plain([v for row in names for v in row.values()]):
+            folders = existing_folders(spark, [f"{root.rstrip('/')}/{pattern.format(**row)}" for row in names])
+            if not folders:
+                return list_assets(spark, root).limit(0)
+            break
+    wanted = broadcast_if_small(requested.select(*keys).distinct())
+    return list_assets(spark, root, folders=folders).join(wanted, keys, "left_semi")
+
+
+def scan_folders(assets: DataFrame, root: str, max_folders: int = MAX_FOLDERS) -> list[str] | None:
+    """Folders below ``root`` that together hold the assets, or None for all of it.
+
+    The deepest level with at most ``max_folders`` folders is taken: the assets' own,
+    else those one level up, and so on. The folders only narrow what is listed and
+    opened; which files count is decided by a join.
     """
-    found = assets.select(parent(F.col("key")).alias("f")).distinct().limit(max_folders + 1).collect()
-    names = [row["f"] for row in found]
-    if not names or len(names) > max_folders or not _plain(names):
-        return None
-    return [f"{root.rstrip('/')}/{n}" for n in names]
+    folder = parent(F.col("key"))
+    for level in range(MAX_LEVELS):
+        names = _few(assets.select(folder.alias("f")), max_folders)
+        found = [row["f"] for row in names or []]
+        if "" in found:
+            return None
+        if found and _plain(found):
+            return [f"{root.rstrip('/')}/{name}" for name in found]
+        folder = F.when(folder.contains("/"), parent(folder)).otherwise("")
+    return None
 
 
 def locate_assets(assets: DataFrame, root: str, folders: Sequence[str] | None = None) -> DataFrame:
