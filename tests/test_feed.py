@@ -236,6 +236,27 @@ def test_stream_equals_batch(spark, feed, tmp_path):
     assert outcome(spark, streamed) == stream
 
 
+def test_stream_drops_a_repeated_envelope(spark, feed, tmp_path):
+    queue = tmp_path / "queue"
+    queue.mkdir()
+
+    def run():
+        events = stream_events(spark, str(queue))
+        run_stream(feed, events, listing(feed), str(tmp_path / "cp"), dedup_span="1 hour").awaitTermination()
+
+    (queue / "0.txt").write_text(ENVELOPES[0] + "\n" + ENVELOPES[0] + "\n")
+    run()
+    (queue / "1.txt").write_text(ENVELOPES[0] + "\n" + ENVELOPES[2] + "\n")
+    run()
+    got = state(spark, feed)
+    assert {k[1]: (v["status"], v["batch"]) for k, v in got.items() if k[1] != "r3"} == {
+        "r1": ("SUCCESS", 0),
+        "r2": ("SUCCESS", 0),
+    }
+    assert got[("d2", "r3")]["status"] == "READY"
+    assert len(messages(spark, feed)) == 2
+
+
 def test_dedup_stream_span(spark, tmp_path):
     source, sink = str(tmp_path / "in"), str(tmp_path / "out")
     schema = "g string, body string, ts timestamp"

@@ -51,7 +51,8 @@ class Feed:
     """Where a feed reads and writes, and its choices.
 
     ``root`` is the folder asset keys are relative to; ``work`` holds the logs,
-    messages and rejects. ``named=False`` leaves the CSV in its partitioned layout
+    messages and rejects, all by batch number: one series of numbers per ``work``
+    folder. ``named=False`` leaves the CSV in its partitioned layout
     below ``root``: no renames, the better choice where a rename is a copy.
     """
 
@@ -81,7 +82,7 @@ class Feed:
         return f"{self.work}/{name}/batch={batch}"
 
 
-def _stored(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` and read it back: short lineage, and it can be measured."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -101,7 +102,7 @@ def intake(feed: Feed, raw: DataFrame, listing: Listing, batch: int, clock: date
     opened = open_envelopes(raw.select("value"))
     matches = event_rule(F.col("event"), feed.sources, feed.detail_types, feed.datasets)
     wanted = opened.where(F.col("manual").isNotNull() | matches)
-    requested = _stored(
+    requested = stored(
         requested_revisions(wanted).select(*KEYS).distinct(), feed.folder("requested", batch)
     )
     found = listing(requested).join(broadcast_if_small(requested), KEYS, "left_semi")
@@ -112,8 +113,8 @@ def intake(feed: Feed, raw: DataFrame, listing: Listing, batch: int, clock: date
             F.concat(revision_prefix(feed.prefix, at, F.col("dataset_id"), F.col("revision_id")), F.col("name")),
         )
     append_assets(found, feed.asset_log, batch)
-    stored = read_asset_log(raw.sparkSession, feed.asset_log).where(F.col("batch") == batch)
-    revisions = build_revisions(stored, feed.bucket, max_rows=feed.list_rows)
+    listed = read_asset_log(raw.sparkSession, feed.asset_log).where(F.col("batch") == batch)
+    revisions = build_revisions(listed, feed.bucket, max_rows=feed.list_rows)
     append_state(ready_rows(revisions, at), feed.state_log, batch, STEP_PUT)
 
 
@@ -157,7 +158,7 @@ def _write_csv(feed: Feed, assets: DataFrame, folders: list[str] | None, batch:
     keyed = assets.drop("csv_key").join(
         folders.select(*CSV_BY, F.concat(F.lit(f"{place}/"), "folder").alias("csv_key")), CSV_BY, "left"
     )
-    return _stored(keyed, feed.folder("csv_assets", batch)), lines.get
+    return stored(keyed, feed.folder("csv_assets", batch)), lines.get
 
 
 def export(feed: Feed, spark: SparkSession, batch: int, clock: datetime) -> dict:
@@ -167,8 +168,10 @@ def export(feed: Feed, spark: SparkSession, batch: int, clock: datetime) -> dict
     even when the first attempt already marked them.
     """
     state = current_state(read_state_log(spark, feed.state_log), as_of=(batch, STEP_PUT))
-    ready = _stored(ready_revisions(state, feed.datasets), feed.folder("ready", batch))
-    found = assets_of(read_asset_log(spark, feed.asset_log), broadcast_if_small(ready.select(*KEYS, "batch")))
+    ready = stored(ready_revisions(state, feed.datasets), feed.folder("ready", batch))
+    span = ready.agg(F.min("batch"), F.max("batch")).first()
+    asset_log = read_asset_log(spark, feed.asset_log).where(F.col("batch").between(*span))
+    found = assets_of(asset_log, broadcast_if_small(ready.select(*KEYS, "batch")))
     target = revision_prefix(feed.csv_prefix, F.lit(clock), F.col("dataset_id"), F.col("revision_id"))
     wanted = (
         data_assets(found, feed.bucket)
@@ -177,9 +180,9 @@ def export(feed: Feed, spark: SparkSession, batch: int, clock: datetime) -> dict
         .withColumn("csv_key", F.concat(target, "asset_stem", F.lit(".csv")))
     )
     folders = existing_folders(spark, scan_folders(wanted, feed.root) or []) or None
-    assets = _stored(locate_assets(wanted, feed.root, folders), feed.folder("ready_assets", batch))
-    rejects = _stored(_rejected(ready, assets), feed.folder("rejects", batch))
-    accepted = _stored(
+    assets = stored(locate_assets(wanted, feed.root, folders), feed.folder("ready_assets", batch))
+    rejects = stored(_rejected(ready, assets), feed.folder("rejects", batch))
+    accepted = stored(
         assets.join(broadcast_if_small(rejects), KEYS, "left_anti"), feed.folder("exported_assets", batch)
     )
     counts = {"n_lines": 0, "n_corrupt": 0}
@@ -196,7 +199,7 @@ def export(feed: Feed, spark: SparkSession, batch: int, clock: datetime) -> dict
         update_revisions(done, changes, ["status", "data_files_csv"]), feed.state_log, batch, STEP_UPDATE
     )
 
-    outbox = _stored(outbound_messages(written, feed.mode, feed.limit_bytes), feed.folder("outbox", batch))
+    outbox = stored(outbound_messages(written, feed.mode, feed.limit_bytes), feed.folder("outbox", batch))
     sent, oversize = split_oversize(outbox, feed.limit_bytes)
     write_messages(sent, feed.folder("messages", batch))
     oversize.select(*KEYS, "pos").write.mode("overwrite").parquet(feed.folder("oversize", batch))
