@@ -16,6 +16,8 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # a scan task meets few assets: keep their writers open instead of sorting its rows
+        .config("spark.sql.maxConcurrentOutputFileWriters", "64")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     )
 
