@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import quality_rules
+from tidemark.llm import quality_rules, secret_scan
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +99,20 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_lines",
         "lost_chars",
     )
+
+
+@query()
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base spans by pattern, further ones by randomness tests."""
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(
+        F.filter("base", lambda s: s["rank"] == secret_scan.KINDS.index(kind))
+    ).cast("long")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(secret_scan.spans_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.col("spans")).alias("spans"),
+    )
