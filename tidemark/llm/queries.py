@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import quality_rules, secret_scan
+from tidemark.llm import bpe, quality_rules, secret_scan
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 
 def query(sql: str | None = None):
     """Register the decorated function under its name, with its SQL if it has one."""
@@ -116,3 +119,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scan.spans_text(F.col("base")), 256).alias("base_sha256"),
         secret_scan.spans_text(F.col("spans")).alias("spans"),
     )
+
+
+@query()
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by merge replay and decoded again, as digests."""
+    return bpe.round_trip(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
