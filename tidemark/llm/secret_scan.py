@@ -118,9 +118,10 @@ def widen(df: DataFrame, **fields) -> DataFrame:
     """Each struct of ``runs`` with fields computed from it; a step of its own keeps analysis shallow."""
 
     def add(s: Column) -> Column:
+        out = s
         for name, make in fields.items():
-            s = s.withField(name, make(s))
-        return s
+            out = out.withField(name, make(s))
+        return out
 
     return df.withColumn("runs", F.transform("runs", add))
 
