@@ -225,19 +225,22 @@ def _ranks(df: DataFrame, path: str):
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``tokens``: the ids of each text."""
+    """``docs`` with ``tokens``, the ids of each text, and ``round_trip``: they decode to its bytes."""
     small_batches(docs.sparkSession)
     ranks = _ranks(docs, path)
-    docs = docs.drop("tokens")
+    docs = docs.drop("tokens", "round_trip")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks.value, pattern)
+        encoder, token = Encoder(ranks.value, pattern), token_table(ranks.value)
         for block in blocks(batches, text):
-            ids = pa.array(list(encoder.encode(block.column(text).to_pylist())), pa.list_(pa.int32()))
-            yield from block.append_column("tokens", ids).to_batches(max_chunksize=256)
-
-    schema = docs.withColumn("tokens", F.array().cast("array<int>")).schema
-    return docs.mapInArrow(run, schema)
+            texts = block.column(text).to_pylist()
+            ids = list(encoder.encode(texts))
+            same = [decode_bytes(x, token) == (t or "").encode() for x, t in zip(ids, texts, strict=True)]
+            block = block.append_column("tokens", pa.array(ids, pa.list_(pa.int32())))
+            yield from block.append_column("round_trip", pa.array(same)).to_batches(max_chunksize=256)
+
+    out = docs.withColumns({"tokens": F.array().cast("array<int>"), "round_trip": F.lit(True)})
+    return docs.mapInArrow(run, out.schema)
 
 
 def decode_bytes(ids: list[int], token: list[bytes]) -> bytes:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, minhash, quality_rules, secret_scan
+from tidemark.llm import bpe, cgk, minhash, quality_rules, secret_scan
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents, by links confirmed on full shingle sets."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in documents: one row per document and item, the best stretch."""
+    found = cgk.with_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
