@@ -73,3 +73,23 @@ def spread(df: DataFrame, row_bytes: int, rows: int, *keys: str) -> DataFrame:
     """Deal rows out by key, so that a partition holds about 8 MB however many rows there are."""
     parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows * row_bytes / (8 << 20)))
     return df.repartition(parts, *keys)
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], ids: list[str]) -> Iterator[pa.Table]:
+    """Tables of equal ``ids`` from sorted batches; a group may reach over several batches."""
+    held: list[pa.Table] = []
+    held_id = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = pa.Table.from_batches([batch])
+        names = list(zip(*(part.column(c).to_pylist() for c in ids), strict=True))
+        starts = [i for i in range(len(names)) if i == 0 or names[i] != names[i - 1]]
+        for start, end in zip(starts, [*starts[1:], len(names)], strict=True):
+            if held and held_id != names[start]:
+                yield pa.concat_tables(held)
+                held = []
+            held_id = names[start]
+            held.append(part.slice(start, end - start))
+    if held:
+        yield pa.concat_tables(held)

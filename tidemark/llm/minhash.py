@@ -7,14 +7,14 @@
 2. Band buckets with two members or more are kept. Each member is paired with its
    bucket's least member only; signatures filter the pairs, and each text's best one
    is confirmed on the full sets. Confirmed links give components.
-3. Buckets that still hold several components are compared in blocks: signatures of
-   members of *different* components, in numpy, blocks of bounded size. What passes is
-   confirmed on the full sets as well. So every pair that shares a bucket and isn't
-   already in one component has been looked at, and no group of copies is ever expanded
-   into its pairs.
+3. Where a bucket still holds several components, the members of the smaller ones are
+   compared with *all* members of the larger ones, block by block: signatures in numpy,
+   then full sets, in the task, until a member is found linked. So every pair that shares
+   a bucket and isn't in one component already is covered, no group of copies is ever
+   expanded into its pairs, and a block's size is bounded.
 
 At a similarity of 0.75 a pair shares none of the 50 buckets of 5 minima with a
-probability of about 1e-6, and an estimate 0.15 too low has one of about 1e-7.
+probability of about 1e-6, and an estimate 0.11 too low has one of about 3e-5.
 
 Nulls: texts that are null or without words have an empty set and are linked with
 nothing. A row without doc_id is returned as kept, without component. Repeated rows (equal
@@ -29,12 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_batches, small_batches, word_list, written
+from tidemark.llm.common import map_batches, small_batches, sorted_groups, written
 from tidemark.llm.components import components
+from tidemark.llm.hashing import WordHasher, mixed
 
 SHINGLE = 5
 BANDS, ROWS = 50, 5
@@ -42,38 +42,20 @@ SEED = 20240229
 #: Percentage of the union that two sets must share.
 SIMILARITY = 75
 #: Share of equal signature bytes below which a pair can't be similar enough.
-LEAST_ESTIMATE = 0.6
+LEAST_ESTIMATE = 0.64
 #: Members of one side of a block comparison.
 BLOCK = 500
-
-
-def mixed(h: np.ndarray) -> np.ndarray:
-    """A bijective 64-bit mixer."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+#: Ids that are broadcast at most (8 bytes each); beyond, the same join shuffles.
+BROADCAST_IDS = 4_000_000
 
 
 class Shingler:
-    """Shingle sets of texts; remembers the hashes of words."""
+    """Shingle sets of texts."""
 
     def __init__(self):
-        self.known: dict[str, int] = {}
-
-    def words(self, text: str | None) -> np.ndarray:
-        found = word_list(text)
-        known = self.known
-        if len(known) > 200_000:
-            known.clear()
-        out = np.empty(len(found), np.uint64)
-        for i, w in enumerate(found):
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh3_64_intdigest(w.encode())
-            out[i] = h
-        return out
-
-    def shingles(self, text: str | None) -> np.ndarray:
+        self.words = WordHasher()
+
+    def shingles(self, text: bytes | None) -> np.ndarray:
         """Sorted distinct hashes of the shingles; the whole sequence where it is shorter."""
         w = self.words(text)
         size = min(SHINGLE, len(w))
@@ -109,7 +91,7 @@ def sketch(docs: DataFrame) -> DataFrame:
         shingler, (a, b) = Shingler(), universal(BANDS * ROWS)
         for batch in batches:
             sizes, digests, signatures, keys = [], [], [], []
-            for text in batch.column("text").to_pylist():
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
                 found = shingler.shingles(text)
                 sizes.append(len(found))
                 if not len(found):
@@ -157,132 +139,109 @@ def check_signatures(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return map_batches(joined, "u long, v long, estimate double", compare)
 
 
-def confirm(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (u, v) whose full shingle sets are similar enough.
+def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, text as bytes) of the distinct ``ids``, once each."""
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").cast("binary").alias("text"))
+    few = ids.count() <= BROADCAST_IDS
+    chosen = texts.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    return written(chosen.dropDuplicates(["doc_id"]), "texts")
 
-    Only texts that some pair names are fetched, once.
-    """
-    pairs = written(pairs.select("u", "v").distinct(), "pairs")
-    named = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    texts = written(texts.join(named, "doc_id").dropDuplicates(["doc_id"]), "texts")
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    if min(len(a), len(b)) * 100 < SIMILARITY * max(len(a), len(b)):
+        return False
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= SIMILARITY * (len(a) + len(b) - shared)
+
+
+def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (u, v) whose full shingle sets are similar enough."""
     of = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"t_{c}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         last, last_set = None, None
         for batch in batches:
-            u, v = batch.column("u").to_pylist(), batch.column("v").to_pylist()
             good = []
-            for i, hub in enumerate(v):
+            for i, hub in enumerate(batch.column("v").to_pylist()):
                 if last != hub:
                     last, last_set = hub, shingler.shingles(batch.column("t_v")[i].as_py())
-                own = shingler.shingles(batch.column("t_u")[i].as_py())
-                shared = len(np.intersect1d(own, last_set, assume_unique=True))
-                good.append(100 * shared >= SIMILARITY * (len(own) + len(last_set) - shared))
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"]).filter(
-                pa.array(good, pa.bool_())
-            )
+                good.append(similar(shingler.shingles(batch.column("t_u")[i].as_py()), last_set))
+            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
 
-    small_batches(docs.sparkSession)
+    small_batches(texts.sparkSession)
     joined = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "t_u", "t_v")
     return written(joined.mapInArrow(run, "u long, v long"), "links")
 
 
-def across_components(multi: DataFrame, known: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket and whose signatures agree enough.
+def across_components(multi: DataFrame, known: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (u, v) between different components, enough of them to join what belongs together.
 
     ``multi``: (key, rep) of buckets with several members; ``known``: (node, component).
-    In each bucket the largest component's members are compared with the others', and
-    those with each other, block by block; blocks are dealt out as groups of bounded size.
     """
-    labelled = multi.join(known.withColumnRenamed("node", "rep"), "rep", "left")
-    labelled = labelled.select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    sizes = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed_keys = (
-        sizes.groupBy("key")
-        .agg(
-            F.max(F.struct("n", F.col("component").alias("c")))["c"].alias("largest"),
-            F.max("n").alias("n_large"),
-            F.sum("n").alias("n"),
-            F.count("*").alias("parts"),
-        )
-        .filter("parts > 1")
-        .select("key", "largest", "n_large", (F.col("n") - F.col("n_large")).alias("n_rest"))
+    sizes = known.groupBy("component").agg(F.count("*").alias("size"))
+    nodes = texts.select(F.col("doc_id").alias("node")).join(known, "node", "left").join(sizes, "component", "left")
+    nodes = written(
+        nodes.select("node", F.coalesce("component", "node").alias("component"), F.coalesce("size", F.lit(1)).alias("size")),
+        "nodes",
     )
-    mixed_keys = written(mixed_keys, "mixed")
-    rows = labelled.join(mixed_keys, "key")
-    count = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
-    own = lambda c: F.pmod(F.xxhash64("rep"), count(c)).cast("int")
-    spans = lambda c: F.sequence(F.lit(0), count(c) - 1)
-    group = lambda kind, a, b, side: F.struct(
-        F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"), F.lit(side).alias("side")
+    rank = F.struct("size", "component")
+    labelled = multi.join(nodes.withColumnRenamed("node", "rep"), "rep").select("key", "rep", rank.alias("own"))
+    parts = labelled.select("key", F.col("own").alias("other")).distinct()
+    several = parts.groupBy("key").agg(F.max("other").alias("top"), F.count("*").alias("n")).filter("n > 1")
+    several = written(several.select("key", "top"), "several")
+    # only members of a bucket's smaller components look for others, in larger ones
+    small = labelled.join(several, "key").filter("own < top").select("key", "rep", "own")
+    others = parts.join(several.select("key"), "key")
+    seekers = small.join(others, "key").filter("own < other").select(
+        F.col("rep").alias("node"), F.col("other.component").alias("target"), F.col("other.size").alias("size")
     )
-    large = F.transform(spans("n_rest"), lambda j: group("large", own("n_large"), j, 0))
-    rest = F.concat(
-        F.transform(spans("n_large"), lambda i: group("large", i, own("n_rest"), 1)),
-        # blocks among the rest: (a, b) with a <= b; a member is on the left, the right or both
-        F.transform(
-            F.filter(spans("n_rest"), lambda j: j >= own("n_rest")), lambda j: group("rest", own("n_rest"), j, 0)
-        ),
-        F.transform(
-            F.filter(spans("n_rest"), lambda i: i <= own("n_rest")), lambda i: group("rest", i, own("n_rest"), 1)
-        ),
+    seekers = written(seekers.distinct(), "seekers")
+    wanted = seekers.groupBy("target").agg(F.count("*").alias("n"))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    all_blocks = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    own_block = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
+    members = nodes.withColumnRenamed("component", "target").join(written(wanted, "wanted"), "target")
+    left = members.select("target", own_block("size").alias("a"), all_blocks("n").alias("b"), F.lit(0).alias("side"), "node")
+    right = seekers.join(wanted, "target").select(
+        "target", all_blocks("size").alias("a"), own_block("n").alias("b"), F.lit(1).alias("side"), "node"
     )
-    groups = F.when(F.col("component") == F.col("largest"), large).otherwise(rest)
-    rows = rows.select("key", "rep", "component", F.explode(groups).alias("g"))
-    rows = rows.select("key", "g.kind", "g.a", "g.b", "g.side", "rep", "component")
-    signatures = reps.select(F.col("doc_id").alias("rep"), "signature")
-    rows = rows.join(signatures, "rep")
-    ids = ["key", "kind", "a", "b"]
-    dealt = rows.repartition(*ids).sortWithinPartitions(*ids, "side", "rep")
+    payload = texts.join(reps.select("doc_id", "signature"), "doc_id").withColumnRenamed("doc_id", "node")
+    rows = left.unionByName(right).join(payload, "node")
+    ids = ["target", "a", "b"]
+    dealt = rows.repartition(*ids).sortWithinPartitions(*ids, "side", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
         for group in sorted_groups(batches, ids):
-            yield compare_sides(group)
+            yield compare_sides(group, shingler)
 
     small_batches(multi.sparkSession)
-    return dealt.mapInArrow(run, "u long, v long").distinct()
-
-
-def sorted_groups(batches: Iterator[pa.RecordBatch], ids: list[str]) -> Iterator[pa.Table]:
-    """Tables of equal ``ids`` from sorted batches; a group may reach over several batches."""
-    held: list[pa.Table] = []
-    held_id = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        part = pa.Table.from_batches([batch])
-        columns = [part.column(c).to_pylist() for c in ids]
-        names = list(zip(*columns, strict=True))
-        starts = [i for i in range(len(names)) if i == 0 or names[i] != names[i - 1]]
-        for start, end in zip(starts, [*starts[1:], len(names)], strict=True):
-            if held and held_id != names[start]:
-                yield pa.concat_tables(held)
-                held = []
-            held_id = names[start]
-            held.append(part.slice(start, end - start))
-    if held:
-        yield pa.concat_tables(held)
-
-
-def compare_sides(group: pa.Table) -> pa.RecordBatch:
-    """Pairs between the two sides of a block whose signatures agree and components differ."""
-    side = group.column("side").to_numpy()
-    rep, component = group.column("rep").to_numpy(), group.column("component").to_numpy()
-    signature = _bytes(group.column("signature"))
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    return written(dealt.mapInArrow(run, "u long, v long"), "links")
+
+
+def compare_sides(group: pa.Table, shingler: Shingler) -> pa.RecordBatch:
+    """For each seeker of a block one member of the target that it is linked with, if there is one."""
+    side, node = group.column("side").to_numpy(), group.column("node").to_pylist()
+    signature, text = _bytes(group.column("signature")), group.column("text")
+    sets: dict[int, np.ndarray] = {}
+
+    def of(i: int) -> np.ndarray:
+        if i not in sets:
+            sets[i] = shingler.shingles(text[i].as_py())
+        return sets[i]
+
+    members = np.flatnonzero(side == 0)
     us, vs = [], []
-    for i in left:
-        other = right[component[right] != component[i]]
-        share = (signature[other] == signature[i]).mean(axis=1) if len(other) else np.empty(0)
-        near = other[share >= LEAST_ESTIMATE]
-        us.append(np.maximum(rep[near], rep[i]))
-        vs.append(np.minimum(rep[near], rep[i]))
-    empty = np.empty(0, np.int64)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([empty, *us])), pa.array(np.concatenate([empty, *vs]))], ["u", "v"]
-    )
+    for i in np.flatnonzero(side == 1).tolist():
+        share = (signature[members] == signature[i]).mean(axis=1)
+        near = np.flatnonzero(share >= LEAST_ESTIMATE)
+        for j in members[near[np.argsort(-share[near], kind="stable")]].tolist():
+            if similar(of(i), of(j)):
+                us.append(node[i])
+                vs.append(node[j])
+                break
+    return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -306,9 +265,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.max(F.struct("estimate", (-F.col("v")).alias("least")))["least"].alias("least"))
         .select("u", (-F.col("least")).alias("v"))
     )
-    links = confirm(best, docs)
+    texts = texts_of(multi.select(F.col("rep").alias("doc_id")).distinct(), docs)
+    links = confirm(best, texts)
     known = written(components(links), "components")
-    more = confirm(across_components(multi.select("key", "rep"), known, signatures), docs)
+    more = across_components(multi, known, signatures, texts)
     if not more.isEmpty():
         known = components(links.unionByName(more))
     labels = classes.join(known.withColumnRenamed("node", "rep"), "rep", "left")
