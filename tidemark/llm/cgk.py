@@ -253,10 +253,11 @@ def with_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         block = prepared(rows)
         if block is None:
             continue
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        # plain values travel: workers build the block from them
+        shared = docs.sparkSession.sparkContext.broadcast((block.ids, block.words))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            hasher, block = WordHasher(), shared.value
+            hasher, block = WordHasher(), Items(*shared.value)
             for batch in batches:
                 kind = batch.schema.field("leaks").type
                 texts = [hasher(t) for t in batch.column("text").cast(pa.binary()).to_pylist()]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, cgk, minhash, quality_rules, secret_scan
+from tidemark.llm import bloom_lm, bpe, cgk, minhash, quality_rules, secret_scan
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,9 @@ def op9_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in documents: one row per document and item, the best stretch."""
     found = cgk.with_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query()
+def op7_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bigram scores of all documents from a log-frequency Bloom filter, beside exact unigram scores."""
+    return bloom_lm.score(table(spark, sf_dir, "documents"))
