@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bloom_lm, bpe, cgk, minhash, quality_rules, secret_scan
+from tidemark.llm import bloom_lm, bpe, cgk, html_crf, minhash, quality_rules, secret_scan
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,9 @@ def op9_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bigram scores of all documents from a log-frequency Bloom filter, beside exact unigram scores."""
     return bloom_lm.score(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by a conditional random field over its leaf blocks."""
+    return html_crf.extract(table(spark, sf_dir, "pages"))
