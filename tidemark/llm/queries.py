@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bloom_lm, bpe, cgk, html_crf, minhash, quality_rules, secret_scan
+from tidemark.llm import bloom_lm, bpe, cgk, gam, html_crf, minhash, quality_rules, secret_scan
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,9 @@ def op7_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page, by a conditional random field over its leaf blocks."""
     return html_crf.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op6_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by the additive model of the labelled ones."""
+    return gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
