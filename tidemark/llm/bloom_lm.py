@@ -173,26 +173,49 @@ def _sums(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return grams[heads], np.add.reduceat(counts, heads) if len(heads) else counts
 
 
+def canonical(grams: np.ndarray, bucket_bits: int) -> np.ndarray:
+    """Grams cut to their bucket and the next 48 bits: what travels and what is looked up."""
+    return grams & ~np.uint64((1 << (16 - bucket_bits)) - 1) if bucket_bits < 16 else grams
+
+
+def packed(grams: np.ndarray, bucket_bits: int) -> bytes:
+    """The 48 bits after the bucket's, 6 bytes each."""
+    rest = (grams << np.uint64(bucket_bits)) >> np.uint64(16)
+    return rest.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(data: bytes, bucket: int, bucket_bits: int) -> np.ndarray:
+    rest = np.zeros((len(data) // 6, 8), np.uint8)
+    rest[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    low = (rest.view(np.uint64).ravel() << np.uint64(16)) >> np.uint64(bucket_bits)
+    return low | (np.uint64(bucket) << np.uint64(64 - bucket_bits))
+
+
 def gram_sums(docs: DataFrame, bucket_bits: int) -> DataFrame:
-    """(bucket, kind, grams, counts): sums of a task's grams, as packed arrays.
+    """(bucket, kind, once, grams, counts): sums of a task's grams, as packed arrays.
 
-    ``kind`` is 1 for unigrams and 2 for bigrams; a bucket is the top bits of the hash.
+    ``kind`` is 1 for unigrams and 2 for bigrams; ``once`` holds the grams met once, which
+    travel without count. A bucket is the top bits of the hash.
     """
 
-    def packed(kind: int, parts: list[np.ndarray]) -> pa.RecordBatch:
-        grams = np.concatenate(parts)
+    def summed(kind: int, parts: list[np.ndarray]) -> pa.RecordBatch:
+        grams = canonical(np.concatenate(parts), bucket_bits)
         grams, counts = _sums(grams, np.ones(len(grams), np.int64))
         bucket = (grams >> np.uint64(64 - bucket_bits)).astype(np.int64)
         cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        ends = np.r_[cuts[1:], len(grams)]
+        once, often, times = [], [], []
+        for a, b in zip(cuts, np.r_[cuts[1:], len(grams)], strict=True):
+            own, n = grams[a:b], counts[a:b]
+            once.append(packed(own[n == 1], bucket_bits))
+            often.append(packed(own[n > 1], bucket_bits))
+            times.append(n[n > 1].astype(np.uint32).tobytes())
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(bucket[cuts], pa.int64()),
                 pa.array(np.full(len(cuts), kind), pa.int32()),
-                pa.array([grams[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
-                pa.array([counts[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+                *(pa.array(x, pa.binary()) for x in (once, often, times)),
             ],
-            ["bucket", "kind", "grams", "counts"],
+            ["bucket", "kind", "once", "grams", "counts"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,13 +232,14 @@ def gram_sums(docs: DataFrame, bucket_bits: int) -> DataFrame:
                 size += len(tokens)
             if size >= FLUSH_TOKENS:
                 for kind in held:
-                    yield packed(kind, held[kind])
+                    yield summed(kind, held[kind])
                 held, size = {1: [], 2: []}, 0
         if size:
             for kind in held:
-                yield packed(kind, held[kind])
+                yield summed(kind, held[kind])
 
-    return docs.select("text", "held_out").mapInArrow(run, "bucket long, kind int, grams binary, counts binary")
+    schema = "bucket long, kind int, once binary, grams binary, counts binary"
+    return docs.select("text", "held_out").mapInArrow(run, schema)
 
 
 def positions(grams: np.ndarray, level: int, bits: np.ndarray) -> Iterator[np.ndarray]:
@@ -230,19 +254,23 @@ def levels(counts: np.ndarray, kind: int) -> np.ndarray:
     return np.floor(np.log2(counts)).astype(int) + (1 if kind == 1 else 0)
 
 
-def segments(sums: DataFrame, bits_per_entry: float) -> DataFrame:
+def segments(sums: DataFrame, bits_per_entry: float, bucket_bits: int) -> DataFrame:
     """(bucket, segment): the filter's bits of each bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["bucket"]):
+            bucket = group.column("bucket")[0].as_py()
             kinds = group.column("kind").to_numpy()
             entries = []
             for kind in (1, 2):
-                rows = np.flatnonzero(kinds == kind).tolist()
-                grams = np.concatenate([np.frombuffer(group.column("grams")[i].as_py(), np.uint64) for i in rows] or [np.empty(0, np.uint64)])
-                counts = np.concatenate([np.frombuffer(group.column("counts")[i].as_py(), np.uint32) for i in rows] or [np.empty(0, np.uint32)])
-                grams, counts = _sums(grams, counts.astype(np.int64))
-                entries.append((grams, levels(counts, kind)))
+                grams, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+                for i in np.flatnonzero(kinds == kind).tolist():
+                    once, often = (unpacked(group.column(c)[i].as_py(), bucket, bucket_bits) for c in ("once", "grams"))
+                    times = np.frombuffer(group.column("counts")[i].as_py(), np.uint32)
+                    grams += [once, often]
+                    counts += [np.ones(len(once), np.int64), times.astype(np.int64)]
+                found, times = _sums(np.concatenate(grams), np.concatenate(counts))
+                entries.append((found, levels(times, kind)))
             n = sum(int(level.sum()) for _, level in entries)
             bits = max(64, int(n * bits_per_entry) // 8 * 8)
             flags = np.zeros(bits, bool)
@@ -250,33 +278,19 @@ def segments(sums: DataFrame, bits_per_entry: float) -> DataFrame:
                 for j in range(1, int(level.max(initial=0)) + 1):
                     for at in positions(grams[level >= j], j, np.uint64(bits)):
                         flags[at] = True
-            bucket = group.column("bucket")[0].as_py()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([bucket], pa.int64()), pa.array([np.packbits(flags).tobytes()])], ["bucket", "segment"]
             )
 
     dealt = sums.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "bucket long, segment binary")
-
-
-def entries(sums: DataFrame) -> int:
-    """An upper bound of the filter's entries, from the tasks' own sums."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = 0
-        for batch in batches:
-            for kind, counts in zip(batch.column("kind").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                n += int(levels(np.frombuffer(counts, np.uint32), kind).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
-
-    return sums.select("kind", "counts").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+    return written(dealt.mapInArrow(run, "bucket long, segment binary"), "segments")
 
 
 class Filter:
     """Segments end to end, with the probing of counts."""
 
     def __init__(self, bucket_bits: int, rows: list):
-        self.shift = np.uint64(64 - bucket_bits)
+        self.bucket_bits, self.shift = bucket_bits, np.uint64(64 - bucket_bits)
         sizes = np.zeros(1 << bucket_bits, np.int64)
         for bucket, segment in rows:
             sizes[bucket] = len(segment)
@@ -303,6 +317,7 @@ class Filter:
 
     def counts(self, grams: np.ndarray, kind: int) -> np.ndarray:
         """Counts by repeated probes: the geometric middle of the highest level that is held."""
+        grams = canonical(grams, self.bucket_bits)
         level = np.zeros(len(grams), int)
         open_ = np.arange(len(grams))
         j = 1
@@ -347,9 +362,11 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     # about half a million tokens a bucket, whatever the corpus holds
     bucket_bits = max(6, math.ceil(math.log2(max(1, total) / 500_000)) + 1 if total > 500_000 else 6)
     sums = gram_sums(source, bucket_bits)
-    sums = written(sums, "grams")
-    bits = min(float(BITS), 8 * filter_bytes / max(1, entries(sums)))
-    found = segments(sums, bits).toArrow()
+    built = segments(sums, BITS, bucket_bits)
+    size = built.agg(F.coalesce(F.sum(F.octet_length("segment")), F.lit(0))).first()[0]
+    if size > filter_bytes:
+        built = segments(sums, BITS * filter_bytes / size, bucket_bits)
+    found = built.toArrow()
     # plain values travel: workers build the filter from them
     shared = docs.sparkSession.sparkContext.broadcast(
         list(zip(found.column("bucket").to_pylist(), found.column("segment").to_pylist(), strict=True))
