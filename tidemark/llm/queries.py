@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bloom_lm, bpe, cgk, gam, html_crf, minhash, quality_rules, secret_scan
+from tidemark.llm import bloom_lm, bpe, cgk, gam, html_crf, minhash, quality_rules, secret_scan, token_counts
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,19 @@ def op8_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_gam_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by the additive model of the labelled ones."""
     return gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document, the text encoded whole."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, RANKS, public_tokenizers.PATTERN)
+    return counted.select("doc_id", "n_tokens", F.explode("counts").alias("line")).select(
+        "doc_id",
+        "n_tokens",
+        F.col("line.name").cast("int").alias("line"),
+        F.col("line.start").alias("first_char"),
+        F.col("line.end").alias("end_char"),
+        F.col("line.n").alias("n_line_tokens"),
+        F.col("line.crossing").alias("n_crossing"),
+    )
