@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bloom_lm, bpe, cgk, gam, html_crf, minhash, quality_rules, secret_scan, token_counts
+from tidemark.llm import bloom_lm, bpe, cgk, chat, gam, html_crf, minhash, quality_rules, secret_scan, token_counts
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,35 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("line.n").alias("n_line_tokens"),
         F.col("line.crossing").alias("n_crossing"),
     )
+
+
+CHAT_SQL = f"""
+    WITH t AS (
+      SELECT conv_id, turn, coalesce(role, '{chat.UNKNOWN}') AS role, coalesce(text, '') AS body
+      FROM conversations WHERE conv_id IS NOT NULL),
+    placed AS (
+      SELECT *, coalesce(sum(length(role) + length(body) + {len(chat.BEGIN) + len(chat.END) + 1}) OVER (
+                  PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, body
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM t),
+    speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> '{chat.SYSTEM}'),
+    views AS (
+      SELECT conv_id, speaker, CAST(place // {chat.PART_CHARS} AS INTEGER) AS part, place, role = speaker AS own,
+             '{chat.BEGIN}' || CASE WHEN role = speaker THEN 'assistant' WHEN role = '{chat.SYSTEM}' THEN role
+                                    ELSE 'user name=' || role END || chr(10) AS head,
+             body || '{chat.END.strip()}' || chr(10) AS body
+      FROM placed JOIN speakers USING (conv_id)),
+    spans AS (
+      SELECT *, coalesce(sum(length(head) + length(body)) OVER (
+                  PARTITION BY conv_id, speaker, part ORDER BY place
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS first FROM views)
+    SELECT conv_id, speaker, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY place) AS text,
+           coalesce(string_agg(CAST(first AS BIGINT) || ':' || CAST(first + length(body) AS BIGINT), ',' ORDER BY place)
+                      FILTER (WHERE own), '') AS masks
+    FROM spans GROUP BY conv_id, speaker, part"""
+
+
+@query(CHAT_SQL)
+def op5_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dialogue from every participant's perspective, with the spans to learn from."""
+    spans = F.transform("masks", lambda m: F.concat_ws(":", m["start"], m["end"]))
+    return chat.rotate(table(spark, sf_dir, "conversations")).withColumn("masks", F.array_join(spans, ","))
