@@ -14,7 +14,7 @@
    expanded into its pairs, and a block's size is bounded.
 
 At a similarity of 0.75 a pair shares none of the 50 buckets of 5 minima with a
-probability of about 1e-6, and an estimate 0.11 too low has one of about 3e-5.
+probability of about 1e-6, and an estimate that low has one of about 1e-6.
 
 Nulls: texts that are null or without words have an empty set and are linked with
 nothing. A row without doc_id is returned as kept, without component. Repeated rows (equal
@@ -42,7 +42,9 @@ SEED = 20240229
 #: Percentage of the union that two sets must share.
 SIMILARITY = 75
 #: Share of equal signature bytes below which a pair can't be similar enough.
-LEAST_ESTIMATE = 0.64
+LEAST_ESTIMATE = 0.62
+#: Bits of 250 (the lowest of each minimum) that may differ: at 0.75 more do with a probability of 1e-6.
+MOST_BITS = 56
 #: Members of one side of a block comparison.
 BLOCK = 500
 #: Ids that are broadcast at most (8 bytes each); beyond, the same join shuffles.
@@ -90,12 +92,12 @@ def sketch(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, (a, b) = Shingler(), universal(BANDS * ROWS)
         for batch in batches:
-            sizes, digests, signatures, keys = [], [], [], []
+            sizes, digests, signatures, keys, bits = [], [], [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 found = shingler.shingles(text)
                 sizes.append(len(found))
                 if not len(found):
-                    digests.append(None), signatures.append(None), keys.append(None)
+                    digests.append(None), signatures.append(None), keys.append(None), bits.append(None)
                     continue
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                 least = minima(found, a, b)
@@ -104,19 +106,23 @@ def sketch(docs: DataFrame) -> DataFrame:
                 for row in least.reshape(BANDS, ROWS).T.astype(np.uint64):
                     band = mixed(band * np.uint64(0x9E3779B97F4A7C15) + row)
                 keys.append(band.view(np.int64))
+                lowest = np.zeros(-(-len(least) // 64) * 64, np.uint8)
+                lowest[: len(least)] = least & np.uint32(1)
+                bits.append(np.packbits(lowest).view(np.int64))
             columns = [
                 batch.column("doc_id"),
                 pa.array(sizes, pa.int64()),
                 pa.array(digests, pa.binary()),
                 pa.array(signatures, pa.binary()),
                 pa.array(keys, pa.list_(pa.int64())),
+                pa.array(bits, pa.list_(pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "signature", "bands"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "signature", "bands", "bits"])
 
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return docs.mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, signature binary, bands array<bigint>"
+        run, "doc_id long, n_shingles long, digest binary, signature binary, bands array<bigint>, bits array<bigint>"
     )
 
 
@@ -180,20 +186,35 @@ def across_components(multi: DataFrame, known: DataFrame, reps: DataFrame, texts
     ``multi``: (key, rep) of buckets with several members; ``known``: (node, component).
     """
     sizes = known.groupBy("component").agg(F.count("*").alias("size"))
-    nodes = texts.select(F.col("doc_id").alias("node")).join(known, "node", "left").join(sizes, "component", "left")
-    nodes = written(
-        nodes.select("node", F.coalesce("component", "node").alias("component"), F.coalesce("size", F.lit(1)).alias("size")),
-        "nodes",
+    nodes = reps.select(F.col("doc_id").alias("node"), "n_shingles", "bits").join(
+        texts.select(F.col("doc_id").alias("node")), "node"
     )
-    rank = F.struct("size", "component")
-    labelled = multi.join(nodes.withColumnRenamed("node", "rep"), "rep").select("key", "rep", rank.alias("own"))
-    parts = labelled.select("key", F.col("own").alias("other")).distinct()
-    several = parts.groupBy("key").agg(F.max("other").alias("top"), F.count("*").alias("n")).filter("n > 1")
+    nodes = nodes.join(known, "node", "left").join(sizes, "component", "left")
+    own = F.struct(F.coalesce("size", F.lit(1)).alias("size"), F.coalesce("component", "node").alias("component"))
+    nodes = written(nodes.select("node", own.alias("own"), "n_shingles", "bits"), "nodes")
+    labelled = multi.select("key", "rep").join(nodes.withColumnRenamed("node", "rep"), "rep")
+    several = labelled.groupBy("key").agg(F.max("own").alias("top"), F.min("own").alias("low")).filter("low < top")
     several = written(several.select("key", "top"), "several")
-    # only members of a bucket's smaller components look for others, in larger ones
-    small = labelled.join(several, "key").filter("own < top").select("key", "rep", "own")
-    others = parts.join(several.select("key"), "key")
-    seekers = small.join(others, "key").filter("own < other").select(
+    rows = labelled.join(several, "key")
+    parts = rows.groupBy("key", F.col("own").alias("other")).agg(
+        F.count("*").alias("n"),
+        F.min("n_shingles").alias("least"),
+        F.max("n_shingles").alias("most"),
+        F.min("bits").alias("bits"),
+    )
+    # only members of a bucket's smaller components look for others, in larger ones; sizes
+    # and, of a component's one member here, bits rule out most that are too different
+    small = rows.filter("own < top").select("key", "rep", "own", "n_shingles", F.col("bits").alias("own_bits"))
+    differ = sum(
+        F.bit_count(F.get("own_bits", F.lit(i)).bitwiseXOR(F.get("bits", F.lit(i)))) for i in range(-(-BANDS * ROWS // 64))
+    )
+    able = (
+        (F.col("own") < F.col("other"))
+        & (100 * F.col("n_shingles") >= SIMILARITY * F.col("least"))
+        & (100 * F.col("most") >= SIMILARITY * F.col("n_shingles"))
+        & ((F.col("n") > 1) | (differ <= MOST_BITS))
+    )
+    seekers = small.join(parts.withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & able).select(
         F.col("rep").alias("node"), F.col("other.component").alias("target"), F.col("other.size").alias("size")
     )
     seekers = written(seekers.distinct(), "seekers")
@@ -201,7 +222,8 @@ def across_components(multi: DataFrame, known: DataFrame, reps: DataFrame, texts
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     all_blocks = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
     own_block = lambda n: F.pmod(F.xxhash64("node"), blocks(n)).cast("int")
-    members = nodes.withColumnRenamed("component", "target").join(written(wanted, "wanted"), "target")
+    members = nodes.select("node", F.col("own.component").alias("target"), "own.size")
+    members = members.join(written(wanted, "wanted"), "target")
     left = members.select("target", own_block("size").alias("a"), all_blocks("n").alias("b"), F.lit(0).alias("side"), "node")
     right = seekers.join(wanted, "target").select(
         "target", all_blocks("size").alias("a"), own_block("n").alias("b"), F.lit(1).alias("side"), "node"
@@ -249,7 +271,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sketched = written(sketch(docs), "sketch")
     named = sketched.filter("digest is not null and doc_id is not null")
     classes = written(named.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    heads = named.select("doc_id", "signature", "bands").join(classes.select(F.col("rep").alias("doc_id")), "doc_id")
+    heads = named.select("doc_id", "n_shingles", "signature", "bands", "bits").join(classes.select(F.col("rep").alias("doc_id")), "doc_id")
     reps = written(heads.dropDuplicates(["doc_id"]), "reps")
     banded = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"))
     # hubs are written, so that the join below reads plain exchanges and splits hot buckets
@@ -258,7 +280,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     multi = written(banded.join(hubs, "key"), "multi")
     pairs = multi.filter("rep <> hub").select(F.col("rep").alias("u"), F.col("hub").alias("v")).distinct()
-    signatures = reps.select("doc_id", "signature")
+    signatures = reps.select("doc_id", "n_shingles", "signature", "bits")
     best = (
         check_signatures(pairs, signatures)
         .groupBy("u")
