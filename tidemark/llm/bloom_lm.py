@@ -12,8 +12,8 @@
   beyond, entries get fewer bits and the share of false positives rises, which is how a
   Bloom filter meets a memory bound. No gram is left out.
 * Score: interpolation of the bigram's relative count with the smoothed unigram, both
-  from probes. The base score uses exact counts: words meet their counts in a join of
-  (word, block of texts) rows, and sums per text are formed block by block.
+  from probes. The base score uses exact counts: rows (word, block of texts) are
+  summed by word in a window, and dealt back to form the sums per text block by block.
 
 Nulls: a null text counts as empty (one end token). A row without doc_id is scored but
 not learned from, as held out. Very long texts are taken whole. Repeated rows are each
@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm.common import small_batches, sorted_groups, written
 from tidemark.llm.hashing import WordHasher, mixed
@@ -87,9 +88,10 @@ def text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 
 def word_rows(docs: DataFrame) -> DataFrame:
-    """(word, block, trained, places, counts): the texts of a block that hold a word.
+    """(word, block, trained, texts): the texts of a block that hold a word, and how often it was trained on.
 
-    One more row per block, without word, has the row keys of its texts.
+    ``texts`` are packed pairs (place in the block, count). One more row per block has the row
+    keys of its texts, under a word of its own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,62 +99,74 @@ def word_rows(docs: DataFrame) -> DataFrame:
         part = TaskContext.get().partitionId() << 24
         for number, block in enumerate(text_blocks(batches)):
             tokens = [with_end(hasher(t)) for t in block.column("text").to_pylist()]
-            place = np.repeat(np.arange(len(tokens), dtype=np.uint64), [len(t) for t in tokens])
+            place = np.repeat(np.arange(len(tokens), dtype=np.int32), [len(t) for t in tokens])
             word = np.concatenate(tokens)
-            order = np.lexsort((place, word))
+            order = np.argsort(word, kind="stable")
             word, place = word[order], place[order]
             new = np.flatnonzero(np.r_[True, (word[1:] != word[:-1]) | (place[1:] != place[:-1])])
             count = np.diff(np.r_[new, len(word)])
-            word, place = word[new], place[new].astype(np.int32)
+            word, place = word[new], place[new]
             learned = ~np.array(block.column("held_out").to_pylist(), bool)
             heads = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             trained = np.add.reduceat(count * learned[place], heads)
-            offsets = pa.array(np.r_[heads, len(word)], pa.int32())
-            n = len(heads)
+            pairs = np.stack([place, count.astype(np.int32)], axis=1).tobytes()
+            offsets = (np.r_[heads, len(word)] * 8).astype(np.int32)
+            packs = pa.Array.from_buffers(
+                pa.binary(), len(heads), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pairs)]
+            )
+            own = np.array([part + number])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(word[heads].view(np.int64)),
-                    pa.array(np.full(n, part + number)),
+                    pa.array(np.repeat(own, len(heads))),
                     pa.array(trained, pa.int64()),
-                    pa.ListArray.from_arrays(offsets, pa.array(place)),
-                    pa.ListArray.from_arrays(offsets, pa.array(count, pa.int32())),
-                    pa.nulls(n, pa.list_(pa.int64())),
+                    packs,
+                    pa.nulls(len(heads), pa.list_(pa.int64())),
                 ],
                 names,
             )
-            keys = block.column("row_key").to_pylist()
-            empty = pa.nulls(1, pa.list_(pa.int32()))
+            keys = pa.array([block.column("row_key").to_pylist()], pa.list_(pa.int64()))
+            apart = pa.array(mixed(own.astype(np.uint64)).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.nulls(1, pa.int64()),
-                    pa.array([part + number], pa.int64()),
-                    pa.array([0], pa.int64()),
-                    empty,
-                    empty,
-                    pa.array([keys], pa.list_(pa.int64())),
-                ],
-                names,
+                [apart, pa.array(own), pa.array([0], pa.int64()), pa.nulls(1, pa.binary()), keys], names
             )
 
-    names = ["word", "block", "trained", "places", "counts", "keys"]
-    schema = "word long, block long, trained long, places array<int>, counts array<int>, keys array<bigint>"
-    return docs.mapInArrow(run, schema)
+    names = ["word", "block", "trained", "texts", "keys"]
+    return docs.mapInArrow(run, "word long, block long, trained long, texts binary, keys array<bigint>")
+
+
+def counted_rows(docs: DataFrame) -> DataFrame:
+    """(block, n, texts, keys, first): rows of words with their count over all training texts.
+
+    A word has a row per block at most, so the window's groups stay small; ``first`` marks
+    one row of each trained word.
+    """
+    own = Window.partitionBy("word")
+    rows = word_rows(docs).select(
+        "block",
+        F.sum("trained").over(own).alias("n"),
+        "texts",
+        "keys",
+        F.row_number().over(own.orderBy("block")).alias("at"),
+    )
+    first = (F.col("at") == 1) & (F.col("n") > 0)
+    return written(rows.select("block", "n", "texts", "keys", first.alias("first")), "words")
 
 
-def base_scores(rows: DataFrame, vocabulary: DataFrame, total: int, distinct: int) -> DataFrame:
+def base_scores(rows: DataFrame, total: int, distinct: int) -> DataFrame:
     """(row_key, n_known, base_score): exact unigram scores of every text."""
     norm = math.log10(total + ADDED * (distinct + 1))
-    counted = rows.join(vocabulary, "word", "left").select("block", "n", "places", "counts", "keys")
-    dealt = counted.repartition("block").sortWithinPartitions("block")
+    dealt = rows.select("block", "n", "texts", "keys").repartition("block").sortWithinPartitions("block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["block"]):
             keys = next(k for k in group.column("keys").to_pylist() if k is not None)
-            words = group.filter(pc.is_valid(group.column("places"))).combine_chunks()
-            n = pc.fill_null(words.column("n"), 0).to_numpy()
-            places, counts = words.column("places").combine_chunks(), words.column("counts").combine_chunks()
-            sizes = places.value_lengths().to_numpy()
-            at, times = places.flatten().to_numpy(), counts.flatten().to_numpy()
+            words = group.filter(pc.is_valid(group.column("texts")))
+            n = words.column("n").to_numpy()
+            packs = words.column("texts").to_pylist()
+            sizes = np.array([len(x) for x in packs]) // 8
+            pairs = np.frombuffer(b"".join(packs), np.int32).reshape(-1, 2)
+            at, times = pairs[:, 0], pairs[:, 1]
             scores = np.bincount(at, np.repeat(np.log10(n + ADDED) - norm, sizes) * times, len(keys))
             known = np.bincount(at, np.repeat(n > 0, sizes) * times, len(keys)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -354,10 +368,8 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score per row."""
     small_batches(docs.sparkSession)
     source = keyed(docs)
-    rows = written(word_rows(source), "words")
-    trained = rows.filter("word is not null").groupBy("word").agg(F.sum("trained").alias("n"))
-    vocabulary = written(trained.filter("n > 0"), "vocabulary")
-    distinct, total = vocabulary.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    rows = counted_rows(source)
+    distinct, total = rows.filter("first").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
 
     # about half a million tokens a bucket, whatever the corpus holds
     bucket_bits = max(6, math.ceil(math.log2(max(1, total) / 500_000)) + 1 if total > 500_000 else 6)
@@ -389,7 +401,7 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     key = docs.schema["doc_id"].dataType.simpleString()
     kind = f"doc_id {key}, held_out boolean, row_key long, n_tokens long, score double"
     scored = source.mapInArrow(run, kind)
-    base = written(base_scores(rows, vocabulary, total, distinct), "base")
+    base = written(base_scores(rows, total, distinct), "base")
     return scored.join(base, "row_key", "left").select(
         "doc_id",
         "held_out",
