@@ -220,7 +220,8 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality") -> Model:
     known = labels.filter(F.col(target).isNotNull() & ~is_held_out()).groupBy("doc_id").agg(F.min(target).alias("y"))
     # bounded by SAMPLE, so it may be broadcast
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = with_features(docs.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]), "doc_id", "y")
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    rows = with_features(texts, "doc_id", "y")
     found = rows.orderBy("doc_id").toPandas()
     x = np.array(found["x"].tolist(), float).reshape(-1, len(FEATURES))
     return fit(x, found["y"].to_numpy(float))
