@@ -11,7 +11,7 @@ from tidemark.operators.revisions import (
     rekey_assets,
     without_assets,
 )
-from tidemark.operators.sizing import short_lists
+from tidemark.operators.sizing import chunked_lists, short_lists
 from tidemark.schemas import LISTING
 
 FILES = [
@@ -69,8 +69,28 @@ def test_short_lists_at_the_limit(spark, rows):
     assert got == {0: None, 1: None, 2: None, 3: [30, 31, 32, 33, 34]}
     got = dict(rows(short_lists(df, ["k"], ["o"], F.col("o"), 10)))
     assert got[0] == list(range(10))
-    with pytest.raises(ValueError):
-        short_lists(df, ["k"], ["o"], F.col("o"), 5000)
+    assert dict(rows(short_lists(df, ["k"], ["o"], F.col("o"), 5000))) == got
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "-1")
+    try:
+        counted = dict(rows(short_lists(df, ["k"], ["o"], F.col("o"), 9)))
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    assert counted == {0: None, 1: None, 2: None, 3: [30, 31, 32, 33, 34]}
+
+
+def test_chunks_hold_every_value(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    chunks = chunked_lists(df, ["k"], ["id"], F.col("id"), rows=100).collect()
+    assert max(len(c["items"]) for c in chunks) <= 100
+    hot = [v for c in sorted((c for c in chunks if c["k"] == "hot"), key=lambda c: c["chunk"]) for v in c["items"]]
+    assert hot == list(range(0, 5000, 3))
+    assert sum(len(c["items"]) for c in chunks) == 5000
+
+
+def test_long_list_is_not_an_absent_one(spark, rows):
+    kind = "k string, n_data_files long, data_files map<string, array<struct<bucket:string,key:string,version:string>>>"
+    df = spark.createDataFrame([("long", 600, None), ("none", 0, None), ("empty", 0, {})], kind)
+    assert rows(without_assets(df), "k") == [("empty",), ("none",)]
 
 
 def test_short_lists_limits_before_the_shuffle(spark, plan):

@@ -18,16 +18,29 @@ HEARTBEAT_MAPPING: list[Mapping] = [(MAPPED_FIELD, "array", MAPPED_FIELD, "strin
 NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
+def _is_of(held: T.DataType, declared: str) -> bool:
+    """A nested type is declared by its kind, any other by its full name."""
+    return declared in (held.simpleString(), held.typeName())
+
+
+def failed_values(df: DataFrame, mappings: Sequence[Mapping]) -> DataFrame:
+    """One row: how many values of each target can't be cast and so become NULL."""
+    counts = []
+    for (source, _, target, _), mapped in zip(mappings, mapped_columns(df.schema, mappings), strict=True):
+        counts.append(F.count_if(F.col(f"`{source}`").isNotNull() & mapped.isNull()).alias(target))
+    return df.agg(*counts)
+
+
 def mapped_columns(schema: T.StructType, mappings: Sequence[Mapping], style: str = "json") -> list[Column]:
     """The select list of a mapping over ``schema``."""
     columns = []
     for source, source_type, target, target_type in mappings:
         held = schema[source].dataType
-        if source_type == "array" and not isinstance(held, T.ArrayType):
+        if not _is_of(held, source_type):
             raise ValueError(f"{source} is {held.simpleString()}, the mapping says {source_type}")
         column = F.col(f"`{source}`")
         to_text = isinstance(held, NESTED) and target_type == "string"
-        columns.append((array_text(column, style) if to_text else column.cast(target_type)).alias(target))
+        columns.append((array_text(column, style) if to_text else column.try_cast(target_type)).alias(target))
     return columns
 
 
@@ -39,6 +52,8 @@ def apply_mapping(
 ) -> DataFrame:
     """Project ``df`` through ``mappings``; columns not listed are dropped.
 
+    A value that can't be cast becomes NULL (``failed_values`` counts them).
+
     ``keep`` carries identity columns (data set, revision, asset) past the mapping.
     """
     return df.select(*keep, *mapped_columns(df.schema, mappings, style))

@@ -51,7 +51,7 @@ def outbound_messages(
 
     ``revision``: one message per revision, every key converted. ``progress``: one
     per asset, holding the converted key for that asset and those before it and the
-    original key for the rest.
+    original key for the rest; ``pos`` and ``name`` give its place.
 
     ``message`` is NULL when the revision has so many assets that no message about
     it can fit the limit: such lists are never gathered. Every revision (or asset)
@@ -62,17 +62,27 @@ def outbound_messages(
     if mode == "revision":
         text = message_text(_as_map(F.col("_items"), lambda i: i["csv_key"]))
         return lists.select(
-            *KEYS, F.lit(None).cast("long").alias("pos"), F.when(F.col("_items").isNotNull(), text).alias("message")
+            *KEYS,
+            F.lit(None).cast("long").alias("pos"),
+            F.lit(None).cast("string").alias("name"),
+            F.when(F.col("_items").isNotNull(), text).alias("message"),
         )
     if mode != "progress":
         raise ValueError(f"unknown mode: {mode}")
-    rows = assets.select(*KEYS, F.struct("pos", "name").alias("_at")).join(lists, KEYS, "left")
+    at = assets.select(*KEYS, F.struct("pos", "name").alias("_at"))
+    long = lists.where(F.col("_items").isNull()).select(*KEYS)
+    # groups that may fit are short, so only they are joined with their lists; the rows
+    # of long ones pass by, whichever group holds most of them
+    rows = at.join(lists.where(F.col("_items").isNotNull()), KEYS)
+    passed = at.join(long, KEYS, "left_semi").withColumn("message", F.lit(None).cast("string"))
 
     def key_so_far(i: Column) -> Column:
-        done = F.struct(i["pos"], i["name"]) <= F.col("_at")
-        return F.when(done, i["csv_key"]).otherwise(i["asset"]["key"])
-
-    text = message_text(_as_map(F.col("_items"), key_so_far))
-    return rows.select(
-        *KEYS, F.col("_at.pos").cast("long").alias("pos"), F.when(F.col("_items").isNotNull(), text).alias("message")
+        # a missing place counts as the first, as it does in the order of messages
+        done = F.coalesce(i["pos"], F.lit(-1)) < F.coalesce(F.col("_at.pos"), F.lit(-1))
+        same = i["pos"].eqNullSafe(F.col("_at.pos")) & (i["name"] <= F.col("_at.name"))
+        return F.when(done | same, i["csv_key"]).otherwise(i["asset"]["key"])
+
+    told = rows.withColumn("message", message_text(_as_map(F.col("_items"), key_so_far)))
+    return told.drop("_items").unionByName(passed).select(
+        *KEYS, F.col("_at.pos").cast("long").alias("pos"), F.col("_at.name").alias("name"), "message"
     )

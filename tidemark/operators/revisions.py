@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import revision_prefix
-from tidemark.operators.sizing import short_lists
+from tidemark.operators.sizing import chunked_lists, short_lists
 from tidemark.schemas import DATASET_NAME, KEYS, MANIFEST_PREFIX
 
 #: Revisions with more data files than this keep only the tall form.
@@ -96,6 +96,11 @@ def pack_data_files(assets: DataFrame, max_rows: int = LIST_ROWS) -> DataFrame:
     return lists.select(*KEYS, F.map_from_entries(grouped).alias("data_files"))
 
 
+def asset_chunks(assets: DataFrame, rows: int = 1000) -> DataFrame:
+    """(keys, chunk, assets): all assets of every revision in listing order, however many."""
+    return chunked_lists(assets, KEYS, ["pos", "name"], F.struct("pos", "name", "asset"), rows, "assets")
+
+
 def build_revisions(
     listing: DataFrame,
     bucket: str,
@@ -129,8 +134,18 @@ def explode_assets(revisions: DataFrame, dataset_name: str = DATASET_NAME, files
 
 
 def without_assets(revisions: DataFrame, dataset_name: str = DATASET_NAME, files: str = "data_files") -> DataFrame:
-    """Revisions with no assets under the entry: the reject output of ``explode_assets``."""
+    """Revisions with no assets under the entry: the reject output of ``explode_assets``.
+
+    A NULL map of a revision that counts data files stands for a list too long for one
+    row (see ``asset_chunks``), not for none.
+    """
     entry = F.try_element_at(files, F.lit(dataset_name))
+    if "n_data_files" in revisions.columns:
+        return revisions.where(
+            F.when(F.col(files).isNull(), F.coalesce(F.col("n_data_files"), F.lit(0)) == 0).otherwise(
+                F.coalesce(F.size(entry) <= 0, F.lit(True))
+            )
+        )
     return revisions.where(F.coalesce(F.size(entry) <= 0, F.lit(True)))
 
 

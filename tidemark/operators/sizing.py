@@ -35,18 +35,22 @@ def short_lists(
     """Ordered list per key for groups of at most ``max_rows`` rows.
 
     A longer group yields a row with a NULL list, so the caller sees it and uses
-    the tall rows instead. The row-number limit is applied before the shuffle as
-    well as after it, so a group holding a third of the input sends at most
-    ``max_rows + 1`` rows per map task; ordering, limiting and collecting share
-    one shuffle on ``keys``.
+    the tall rows (or ``chunked_lists``) instead. Where Spark limits groups on the
+    map side (see ``_limited``), a group holding a third of the input sends at most
+    ``max_rows + 1`` rows per map task; other limits count first and gather only
+    groups that are short enough. Both give the same rows.
     """
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if max_rows + 1 > threshold:
-        raise ValueError(f"max_rows must stay below {threshold}, the map-side group limit")
+    rows = df.select(*keys, *[c for c in order if c not in keys], value.alias("_value"))
+    limited = _limited if max_rows + 1 <= threshold else _counted
+    return limited(rows, keys, order, max_rows, name)
+
+
+def _limited(rows: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int, name: str) -> DataFrame:
+    """By a row-number limit, which Spark applies before the shuffle as well as after it."""
     window = Window.partitionBy(*keys).orderBy(*order)
     return (
-        df.select(*keys, *[c for c in order if c not in keys], value.alias("_value"))
-        .withColumn("_rn", F.row_number().over(window))
+        rows.withColumn("_rn", F.row_number().over(window))
         .where(F.col("_rn") <= max_rows + 1)
         .groupBy(*keys)
         .agg(
@@ -58,3 +62,39 @@ def short_lists(
             F.when(F.col("_n") <= max_rows, F.transform("_rows", lambda r: r["_value"])).alias(name),
         )
     )
+
+
+def _counted(rows: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int, name: str) -> DataFrame:
+    """By counting: rows of longer groups are left out before the gathering shuffle."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    short = rows.join(counts.where(F.col("_n") <= max_rows).select(*keys), list(keys), "left_semi")
+    at = F.struct(*[c for c in order if c not in keys], "_value")
+    lists = short.groupBy(*keys).agg(F.array_sort(F.collect_list(at)).alias("_rows"))
+    listed = F.transform("_rows", lambda r: r["_value"])
+    return counts.join(lists, list(keys), "left").select(*keys, listed.alias(name))
+
+
+def chunked_lists(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: Column,
+    rows: int = 1000,
+    name: str = "items",
+) -> DataFrame:
+    """(keys, chunk, list): every group's values in order, in lists of at most ``rows``.
+
+    Range partitioning on (keys, order) spreads a long group over many tasks, and rows
+    are numbered within a partition, so no task holds a group. ``chunk`` rises along a
+    group's order; it has gaps where a group goes on in another partition.
+    """
+    kept = df.select(*keys, *[c for c in order if c not in keys], value.alias("_value"))
+    ranged = kept.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id())
+    window = Window.partitionBy("_part", *keys).orderBy(*order)
+    place = F.row_number().over(window) - 1
+    chunk = F.col("_part").cast("long") * (1 << 32) + F.floor(place / rows)
+    numbered = ranged.withColumns({"_place": place, "chunk": chunk})
+    lists = numbered.groupBy(*keys, "chunk").agg(
+        F.array_sort(F.collect_list(F.struct("_place", "_value"))).alias("_rows")
+    )
+    return lists.select(*keys, "chunk", F.transform("_rows", lambda r: r["_value"]).alias(name))

@@ -22,8 +22,16 @@ def ready_rows(revisions: DataFrame, at: Column) -> DataFrame:
     )
 
 
-def put_revisions(state: DataFrame, new: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Replace whole rows by key: new rows, plus old rows no new row replaces."""
+def put_revisions(
+    state: DataFrame, new: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] | None = None
+) -> DataFrame:
+    """Replace whole rows by key: new rows, plus old rows no new row replaces.
+
+    With ``order`` the last of several new rows of a key counts; without it ``new``
+    must hold one row per key at most.
+    """
+    if order is not None:
+        new = latest_by(new, list(keys), list(order)).drop(*[c for c in order if c not in state.columns])
     kept = state.join(new.select(*keys), list(keys), "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 

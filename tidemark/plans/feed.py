@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import file_stem, revision_prefix
-from tidemark.operators.events import event_rule, open_envelopes, requested_revisions
+from tidemark.operators.events import event_rule, open_envelopes, requested_revisions, unreadable_events
 from tidemark.operators.mapping import HEARTBEAT_MAPPING, Mapping, apply_mapping
 from tidemark.operators.messages import outbound_messages, split_oversize
 from tidemark.operators.revisions import (
@@ -102,9 +102,15 @@ def intake(feed: Feed, raw: DataFrame, listing: Listing, batch: int, clock: date
     opened = open_envelopes(raw.select("value"))
     matches = event_rule(F.col("event"), feed.sources, feed.detail_types, feed.datasets)
     wanted = opened.where(F.col("manual").isNotNull() | matches)
-    requested = stored(
-        requested_revisions(wanted).select(*KEYS).distinct(), feed.folder("requested", batch)
+    unreadable_events(raw.select("value")).select("manual", "record_pos", "body").write.mode("overwrite").json(
+        feed.folder("unreadable", batch)
     )
+    asked = requested_revisions(wanted).select(*KEYS)
+    if existing_folders(raw.sparkSession, [feed.state_log]):
+        # revisions whose files weren't there yet are looked for again
+        before = current_state(read_state_log(raw.sparkSession, feed.state_log), as_of=(batch - 1, STEP_UPDATE))
+        asked = asked.unionByName(ready_revisions(before).where("n_data_files = 0").select(*KEYS))
+    requested = stored(asked.distinct(), feed.folder("requested", batch))
     found = listing(requested).join(broadcast_if_small(requested), KEYS, "left_semi")
     at = F.lit(clock)
     if "key" not in found.columns:
@@ -115,7 +121,9 @@ def intake(feed: Feed, raw: DataFrame, listing: Listing, batch: int, clock: date
     append_assets(found, feed.asset_log, batch)
     listed = read_asset_log(raw.sparkSession, feed.asset_log).where(F.col("batch") == batch)
     revisions = build_revisions(listed, feed.bucket, max_rows=feed.list_rows)
-    append_state(ready_rows(revisions, at), feed.state_log, batch, STEP_PUT)
+    # every requested revision gets its row, with or without files
+    every = requested.join(revisions, KEYS, "left").withColumn("n_data_files", F.coalesce("n_data_files", F.lit(0)))
+    append_state(ready_rows(every, at), feed.state_log, batch, STEP_PUT)
 
 
 def _reject(df: DataFrame, reason: str) -> DataFrame:
@@ -151,7 +159,7 @@ def _write_csv(feed: Feed, assets: DataFrame, folders: list[str] | None, batch:
         names = assets.select(*CSV_BY, F.col("csv_key").alias("target"))
         header = ",".join(c for c in rows.columns if c not in CSV_BY)
         name_folders(spark, staging, feed.root, names, CSV_BY, header)
-        return assets, lines.get
+        return stored(assets, feed.folder("csv_assets", batch)), lines.get
     place = f"{feed.csv_prefix}/batch={batch}"
     write_csv(rows, f"{feed.root}/{place}", "overwrite", CSV_BY)
     folders = written_folders(spark, f"{feed.root}/{place}", CSV_BY)
@@ -202,7 +210,7 @@ def export(feed: Feed, spark: SparkSession, batch: int, clock: datetime) -> dict
     outbox = stored(outbound_messages(written, feed.mode, feed.limit_bytes), feed.folder("outbox", batch))
     sent, oversize = split_oversize(outbox, feed.limit_bytes)
     write_messages(sent, feed.folder("messages", batch))
-    oversize.select(*KEYS, "pos").write.mode("overwrite").parquet(feed.folder("oversize", batch))
+    oversize.select(*KEYS, "pos", "name").write.mode("overwrite").parquet(feed.folder("oversize", batch))
     return counts
 
 

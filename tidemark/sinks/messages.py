@@ -18,7 +18,7 @@ def write_messages(
     messages: DataFrame,
     path: str,
     group: str = "dataset_id",
-    order: Sequence[str] = ("revision_id", "pos"),
+    order: Sequence[str] = ("revision_id", "pos", "name"),
     mode: str = "overwrite",
 ) -> None:
     """JSON lines, ordered within ``group`` (by file number, then line)."""
