@@ -135,7 +135,10 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` that pass, their text without the failing lines, same columns."""
-    judged = judge(docs).filter("kept")
+    # a filter moves below the projections with all they compute written out, once per use;
+    # beside a row number it stays above them
+    kept = F.col("kept") & (F.monotonically_increasing_id() >= 0)
+    judged = judge(docs).withColumn("kept", kept).filter("kept")
     changed = judged.withColumns({"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")})
     return changed.select(*docs.columns)
 
