@@ -164,6 +164,13 @@ def test_filter_reads_counts_back():
     assert (bloom_lm.unpacked(bloom_lm.packed(grams[:1], 6), int(grams[0] >> np.uint64(58)), 6) == grams[:1]).all()
 
 
+def test_scores_do_not_depend_on_the_memory_for_the_filter(spark):
+    rng = random.Random(8)
+    df = spark.createDataFrame([(i, sentence(rng, 200)) for i in range(300)], "doc_id long, text string")
+    whole, parts = ({r["doc_id"]: r["score"] for r in bloom_lm.score(df, n).collect()} for n in (256 << 20, 8 << 10))
+    assert whole == pytest.approx(parts)
+
+
 # classifier -----------------------------------------------------------------------------
 
 

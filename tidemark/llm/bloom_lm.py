@@ -8,9 +8,10 @@
   levels 1, 2, ... until one is absent, and stands for the middle of its level.
 * A bucket of the hash space owns a segment of the filter, so the reducer that holds a
   bucket's counts sets its bits alone; the driver only lays segments end to end.
-* The filter is broadcast. It takes ``BITS`` bits an entry and ``filter_bytes`` at most:
-  beyond, entries get fewer bits and the share of false positives rises, which is how a
-  Bloom filter meets a memory bound. No gram is left out.
+* The filter takes ``BITS`` bits an entry, however many there are, so a score means the
+  same on any input. It is broadcast in groups of segments of ``filter_bytes`` at most; a
+  task holds one group at a time and, when there are several, probes a block of texts
+  against each in turn. A gram lies in one group. No gram is left out.
 * Score: interpolation of the bigram's relative count with the smoothed unigram, both
   from probes. The base score uses exact counts: rows (word, block of texts) are
   summed by word in a window, and dealt back to form the sums per text block by block.
@@ -38,7 +39,8 @@ from tidemark.llm.hashing import WordHasher, mixed
 
 END = np.uint64(0x5851F42D4C957F2D)
 BITS, HASHES = 8, 4
-FILTER_BYTES = 256 << 20
+#: Bytes of the filter that a task holds at once, and of the texts that are probed together against several such groups.
+FILTER_BYTES, PROBE_BYTES = 256 << 20, 16 << 20
 #: Share of the bigram estimate; the unigram estimate has the rest.
 BIGRAM_SHARE = 0.2
 #: Texts whose words are summed together before they leave a task, and tokens likewise.
@@ -72,12 +74,12 @@ def bigrams(tokens: np.ndarray) -> np.ndarray:
     return mixed(before * np.uint64(0x9E3779B97F4A7C15) + tokens)
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+def text_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int = BLOCK_BYTES) -> Iterator[pa.Table]:
     held, size = [], 0
     for batch in batches:
         held.append(batch)
         size += batch.column("text").nbytes
-        if size >= BLOCK_BYTES:
+        if size >= block_bytes:
             yield pa.Table.from_batches(held)
             held, size = [], 0
     if held:
@@ -329,35 +331,79 @@ class Filter:
         out[alive] = True
         return out
 
-    def counts(self, grams: np.ndarray, kind: int) -> np.ndarray:
-        """Counts by repeated probes: the geometric middle of the highest level that is held."""
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        """The highest level that is held, by repeated probes; 0 for grams of other segments."""
         grams = canonical(grams, self.bucket_bits)
         level = np.zeros(len(grams), int)
-        open_ = np.arange(len(grams))
+        open_ = np.flatnonzero(~self.empty[(grams >> self.shift).astype(np.int64)])
         j = 1
         while len(open_):
             open_ = open_[self.holds(grams[open_], j)]
             level[open_] = j
             j += 1
-        if kind == 1:
-            return np.where(level > 0, np.where(level == 1, 1.0, 2.0 ** (level - 0.5)), 0.0)
-        return np.where(level > 0, 2.0 ** (level + 0.5), 0.0)
+        return level
+
+    def counts(self, grams: np.ndarray, kind: int) -> np.ndarray:
+        return counts_of(self.levels(grams), kind)
+
 
+class Groups:
+    """A filter in groups of segments, of which one at a time is in memory."""
+
+    def __init__(self, bucket_bits: int, shared: list):
+        self.bucket_bits, self.shared = bucket_bits, shared
+        self.only = self._filter(shared[0]) if len(shared) == 1 else None
+
+    def _filter(self, group) -> Filter:
+        found = Filter(self.bucket_bits, group.value)
+        # the broadcast's rows are let go, and read again for the next block of texts
+        vars(group).pop("_value", None)
+        return found
+
+    def levels(self, grams: np.ndarray) -> np.ndarray:
+        if self.only:
+            return self.only.levels(grams)
+        level = np.zeros(len(grams), int)
+        for group in self.shared:
+            level += self._filter(group).levels(grams)
+        return level
 
-def score_tokens(tokens: list[np.ndarray], lookup: Filter, total: int, distinct: int) -> list[float]:
+
+def segment_groups(sizes: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
+    """First and last bucket of runs of segments of ``most`` bytes at most, from (bucket, bytes)."""
+    out: list[tuple[int, int]] = []
+    held = 0
+    for bucket, size in sorted(sizes):
+        if out and held + size <= most:
+            out[-1], held = (out[-1][0], bucket), held + size
+        else:
+            out.append((bucket, bucket))
+            held = size
+    return out
+
+
+def counts_of(level: np.ndarray, kind: int) -> np.ndarray:
+    """Counts by level: its geometric middle."""
+    if kind == 1:
+        return np.where(level > 0, np.where(level == 1, 1.0, 2.0 ** (level - 0.5)), 0.0)
+    return np.where(level > 0, 2.0 ** (level + 0.5), 0.0)
+
+
+def score_tokens(tokens: list[np.ndarray], lookup: Filter | Groups, total: int, distinct: int) -> list[float]:
     """log10 probability of each token sequence; grams are looked up once a batch."""
     sizes = [len(t) for t in tokens]
     word = np.concatenate(tokens)
     pairs = np.concatenate([bigrams(t) for t in tokens])
     words, word_at = np.unique(word, return_inverse=True)
     grams, gram_at = np.unique(pairs, return_inverse=True)
-    count = lookup.counts(words, 1)
-    single = count[word_at]
+    level = lookup.levels(np.concatenate([words, grams]))
+    single = counts_of(level[: len(words)], 1)[word_at]
     starts = np.cumsum([0, *sizes[:-1]])
     before = np.empty(len(word))
     before[1:] = single[:-1]
-    before[starts] = lookup.counts(np.array([END]), 1)[0]
-    pair = lookup.counts(grams, 2)[gram_at]
+    # the last token of every text is the end token
+    before[starts] = single[-1]
+    pair = counts_of(level[len(words) :], 2)[gram_at]
     unigram = (single + ADDED) / (total + ADDED * (distinct + 1))
     relative = np.where(before > 0, np.minimum(pair / np.maximum(before, 1.0), 1.0), 0.0)
     p = np.log10(BIGRAM_SHARE * relative + (1 - BIGRAM_SHARE) * unigram)
@@ -375,19 +421,19 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     bucket_bits = max(6, math.ceil(math.log2(max(1, total) / 500_000)) + 1 if total > 500_000 else 6)
     sums = gram_sums(source, bucket_bits)
     built = segments(sums, BITS, bucket_bits)
-    size = built.agg(F.coalesce(F.sum(F.octet_length("segment")), F.lit(0))).first()[0]
-    if size > filter_bytes:
-        built = segments(sums, BITS * filter_bytes / size, bucket_bits)
-    found = built.toArrow()
-    # plain values travel: workers build the filter from them
-    shared = docs.sparkSession.sparkContext.broadcast(
-        list(zip(found.column("bucket").to_pylist(), found.column("segment").to_pylist(), strict=True))
-    )
-    del found
+    sizes = [tuple(r) for r in built.select("bucket", F.octet_length("segment")).collect()]
+    shared = []
+    for low, high in segment_groups(sizes, filter_bytes) or [(0, 0)]:
+        found = built.filter(F.col("bucket").between(low, high)).toArrow()
+        # plain values travel: workers build the filter from them
+        rows_of = list(zip(found.column("bucket").to_pylist(), found.column("segment").to_pylist(), strict=True))
+        shared.append(docs.sparkSession.sparkContext.broadcast(rows_of))
+        del found, rows_of
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, lookup = WordHasher(), Filter(bucket_bits, shared.value)
-        for batch in batches:
+        hasher, lookup = WordHasher(), Groups(bucket_bits, shared)
+        for block in batches if lookup.only else text_blocks(batches, PROBE_BYTES):
+            batch = block if lookup.only else block.combine_chunks().to_batches()[0]
             tokens = [with_end(hasher(t)) for t in batch.column("text").to_pylist()]
             if not tokens:
                 continue
