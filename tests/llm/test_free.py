@@ -164,6 +164,17 @@ def test_filter_reads_counts_back():
     assert (bloom_lm.unpacked(bloom_lm.packed(grams[:1], 6), int(grams[0] >> np.uint64(58)), 6) == grams[:1]).all()
 
 
+def test_a_bigram_seen_once_counts(spark):
+    # one text is learned from; a copy of it and its words in another order are held out
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10]
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0]
+    words = sentence(random.Random(4), 60).split()
+    docs = [(ids[0], " ".join(words)), (held[0], " ".join(words)), (held[1], " ".join(sorted(words)))]
+    got = {r["doc_id"]: r["score"] for r in bloom_lm.score(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    # each pair of the copy follows its word every time, so a token has 0.2 at least
+    assert got[held[0]] >= 61 * math.log10(0.2 * 0.3) and got[held[0]] > got[held[1]] + 20
+
+
 def test_scores_do_not_depend_on_the_memory_for_the_filter(spark):
     rng = random.Random(8)
     df = spark.createDataFrame([(i, sentence(rng, 200)) for i in range(300)], "doc_id long, text string")

@@ -2,10 +2,9 @@
 
 * Training counts unigrams and bigrams of all training texts (64-bit hashes). Tasks sum
   their share first; a sum travels in one row per task and bucket of the hash space.
-* A gram seen c times has the level floor(log2(c)) + 1 for unigrams and floor(log2(c)) for
-  bigrams (a bigram seen once is no better than its words). For each level up to its own
-  the filter holds the pair (gram, level). A count is read back by probing
-  levels 1, 2, ... until one is absent, and stands for the middle of its level.
+* A gram seen c times has the level floor(log2(c)) + 1, be it a unigram or a bigram. For each
+  level up to its own the filter holds the pair (gram, level). A count is read back by
+  probing levels 1, 2, ... until one is absent, and stands for the middle of its level.
 * A bucket of the hash space owns a segment of the filter, so the reducer that holds a
   bucket's counts sets its bits alone; the driver only lays segments end to end.
 * The filter takes ``BITS`` bits an entry, however many there are, so a score means the
@@ -266,8 +265,8 @@ def positions(grams: np.ndarray, level: int, bits: np.ndarray) -> Iterator[np.nd
         yield ((h + np.uint64(i) * step) % bits).astype(np.int64)
 
 
-def levels(counts: np.ndarray, kind: int) -> np.ndarray:
-    return np.floor(np.log2(counts)).astype(int) + (1 if kind == 1 else 0)
+def levels(counts: np.ndarray) -> np.ndarray:
+    return np.floor(np.log2(counts)).astype(int) + 1
 
 
 def segments(sums: DataFrame, bits_per_entry: float, bucket_bits: int) -> DataFrame:
@@ -286,7 +285,7 @@ def segments(sums: DataFrame, bits_per_entry: float, bucket_bits: int) -> DataFr
                     grams += [once, often]
                     counts += [np.ones(len(once), np.int64), times.astype(np.int64)]
                 found, times = _sums(np.concatenate(grams), np.concatenate(counts))
-                entries.append((found, levels(times, kind)))
+                entries.append((found, levels(times)))
             n = sum(int(level.sum()) for _, level in entries)
             bits = max(64, int(n * bits_per_entry) // 8 * 8)
             flags = np.zeros(bits, bool)
@@ -343,8 +342,8 @@ class Filter:
             j += 1
         return level
 
-    def counts(self, grams: np.ndarray, kind: int) -> np.ndarray:
-        return counts_of(self.levels(grams), kind)
+    def counts(self, grams: np.ndarray) -> np.ndarray:
+        return counts_of(self.levels(grams))
 
 
 class Groups:
@@ -382,11 +381,9 @@ def segment_groups(sizes: list[tuple[int, int]], most: int) -> list[tuple[int, i
     return out
 
 
-def counts_of(level: np.ndarray, kind: int) -> np.ndarray:
-    """Counts by level: its geometric middle."""
-    if kind == 1:
-        return np.where(level > 0, np.where(level == 1, 1.0, 2.0 ** (level - 0.5)), 0.0)
-    return np.where(level > 0, 2.0 ** (level + 0.5), 0.0)
+def counts_of(level: np.ndarray) -> np.ndarray:
+    """Counts by level: 1, then the level's geometric middle."""
+    return np.where(level > 0, np.where(level == 1, 1.0, 2.0 ** (level - 0.5)), 0.0)
 
 
 def score_tokens(tokens: list[np.ndarray], lookup: Filter | Groups, total: int, distinct: int) -> list[float]:
@@ -397,13 +394,13 @@ def score_tokens(tokens: list[np.ndarray], lookup: Filter | Groups, total: int,
     words, word_at = np.unique(word, return_inverse=True)
     grams, gram_at = np.unique(pairs, return_inverse=True)
     level = lookup.levels(np.concatenate([words, grams]))
-    single = counts_of(level[: len(words)], 1)[word_at]
+    single = counts_of(level[: len(words)])[word_at]
     starts = np.cumsum([0, *sizes[:-1]])
     before = np.empty(len(word))
     before[1:] = single[:-1]
     # the last token of every text is the end token
     before[starts] = single[-1]
-    pair = counts_of(level[len(words) :], 2)[gram_at]
+    pair = counts_of(level[len(words) :])[gram_at]
     unigram = (single + ADDED) / (total + ADDED * (distinct + 1))
     relative = np.where(before > 0, np.minimum(pair / np.maximum(before, 1.0), 1.0), 0.0)
     p = np.log10(BIGRAM_SHARE * relative + (1 - BIGRAM_SHARE) * unigram)
