@@ -7,6 +7,7 @@ import re
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +70,14 @@ def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.Re
     return df.mapInArrow(run, schema)
 
 
+def id_lists(texts: list[bytes]) -> pa.ListArray:
+    """Arrow lists of int32 from the bytes of each list."""
+    offsets = np.zeros(len(texts) + 1, np.int32)
+    np.cumsum([len(x) // 4 for x in texts], out=offsets[1:])
+    values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(texts))])
+    return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
 def spread(df: DataFrame, row_bytes: int, rows: int, *keys: str) -> DataFrame:
     """Deal rows out by key, so that a partition holds about 8 MB however many rows there are."""
     parts = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows * row_bytes / (8 << 20)))

@@ -8,13 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bloom_lm, bpe, cgk, chat, gam, html_crf, minhash, quality_rules, secret_scan, token_counts
+from tidemark.llm import (
+    bloom_lm,
+    bpe,
+    cgk,
+    chat,
+    gam,
+    html_crf,
+    minhash,
+    quality_rules,
+    secret_scan,
+    token_counts,
+    word_bpe,
+)
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(sql: str | None = None):
@@ -204,3 +217,9 @@ def op5_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every dialogue from every participant's perspective, with the spans to learn from."""
     spans = F.transform("masks", lambda m: F.concat_ws(":", m["start"], m["end"]))
     return chat.rotate(table(spark, sf_dir, "conversations")).withColumn("masks", F.array_join(spans, ","))
+
+
+@query()
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by rank arrays over its words and decoded again, as digests."""
+    return word_bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
