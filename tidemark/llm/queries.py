@@ -17,6 +17,7 @@ from tidemark.llm import (
     html_crf,
     minhash,
     quality_rules,
+    repair,
     secret_scan,
     token_counts,
     word_bpe,
@@ -223,3 +224,10 @@ def op5_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded by rank arrays over its words and decoded again, as digests."""
     return word_bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after damage: its faults, the cheapest edits, a digest of the repaired lines."""
+    damaged = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.repair(damaged)
