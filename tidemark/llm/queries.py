@@ -16,6 +16,7 @@ from tidemark.llm import (
     gam,
     html_crf,
     minhash,
+    prefix_trie,
     quality_rules,
     repair,
     secret_scan,
@@ -231,3 +232,50 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation after damage: its faults, the cheapest edits, a digest of the repaired lines."""
     damaged = repair.damaged(table(spark, sf_dir, "conversations"))
     return repair.repair(damaged)
+
+
+#: Unsigned crc32 of the decimal conv_id: each byte and seven zeros, shifted in bit by bit.
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+      string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda r, x: xor(xor(r, x) >> 1, 3988292384::BIGINT * (xor(r, x) & 1))), 4294967295::BIGINT)"""
+
+TRIE_SQL = f"""
+    WITH t AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS body,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+      FROM conversations WHERE conv_id IS NOT NULL),
+    ids AS (SELECT conv_id, {CRC32_SQL} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+    rebuilt AS (
+      SELECT ids.conv_id, i, role, body FROM ids JOIN t ON t.conv_id = ids.conv_id - ids.conv_id % 100 AND i <= h
+      UNION ALL
+      SELECT ids.conv_id, i, role, body FROM ids JOIN t ON t.conv_id = ids.conv_id AND i > h),
+    placed AS (
+      SELECT conv_id, length(body) AS chars, row_number() OVER w AS depth,
+             string_agg(md5(length(role) || ':' || role || body), '') OVER w AS path
+      FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+    members AS (
+      SELECT conv_id, depth, chars, md5(path) AS node, coalesce(lag(md5(path)) OVER v, 'root') AS above,
+             lead(depth) OVER v IS NULL AS is_end
+      FROM placed WINDOW v AS (PARTITION BY conv_id ORDER BY depth)
+      UNION ALL
+      SELECT conv_id, 0, 0, 'root', NULL, conv_id NOT IN (SELECT conv_id FROM placed) FROM ids),
+    nodes AS (
+      SELECT node, depth, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs,
+             (count(*) - 1) * max(chars) AS saved,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE is_end), '')) AS ends_sha256
+      FROM members GROUP BY node, depth),
+    children AS (SELECT above, count(*) AS n FROM nodes WHERE above IS NOT NULL GROUP BY above),
+    counted AS (
+      SELECT nodes.*, coalesce(children.n, 0) AS n_children FROM nodes LEFT JOIN children ON children.above = nodes.node),
+    below AS (
+      SELECT m.node, sum(c.saved) AS saved, sum(CAST(c.n_children = 0 AS BIGINT)) AS n_leaves
+      FROM counted c JOIN members m ON m.conv_id = c.conv_id AND m.depth <= c.depth GROUP BY m.node)
+    SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children,
+           CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, c.ends_sha256
+    FROM counted c JOIN below b ON b.node = c.node LEFT JOIN counted p ON p.node = c.above"""
+
+
+@query(TRIE_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
