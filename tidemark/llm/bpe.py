@@ -6,7 +6,9 @@ met before are laid out one after another as linked lists of byte symbols, and a
 inverted index maps every adjacent pair that merges to the places where it stands.
 Merges are then replayed in rank order over the whole block: popping a rank visits
 only the indexed places, and each merge re-indexes its two neighbours only. A document's
-tokens are its pre-tokens' sequences, looked up. Nothing is shuffled and nothing that
+tokens are its pre-tokens' sequences, looked up; sequences are kept as bytes of int32. No
+merge reaches over the end of a pre-token, so a block's replay gives what one over the
+whole corpus would, without shuffling every distinct pre-token to and fro. Nothing is shuffled and nothing that
 grows with the corpus is broadcast: the rank table has the size of the vocabulary.
 
 Nulls: a null text counts as empty; empty texts have no tokens. Very long texts are cut,
@@ -20,8 +22,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,14 +32,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import id_lists, small_batches
 
 #: Distinct pre-tokens are gathered over so many characters before their merges are replayed.
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 2 << 20
 #: Texts longer than this are split into pre-tokens piece by piece.
 PIECE_CHARS = 1 << 20
-#: Pre-tokens whose sequences a task remembers from block to block.
-REMEMBERED = 300_000
+#: Bytes of pre-tokens and their sequences that a task remembers from block to block, with
+#: what Python adds to each.
+REMEMBERED_BYTES, ENTRY_BYTES = 80 << 20, 190
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -84,13 +88,13 @@ class Merger:
                 two[name[0], name[1]] = rank
         self.byte_pairs = two
 
-    def replay(self, words: list[bytes]) -> list[list[int]]:
-        """Token ids of every word: all merges in rank order over all words at once."""
-        out: list[list[int]] = [[self.ranks[w]] if w in self.ranks else [] for w in words]
+    def replay(self, words: list[bytes]) -> list[bytes]:
+        """Token ids of every word as int32 bytes: all merges in rank order over all words at once."""
+        out = [array("i", [self.ranks[w]] if w in self.ranks else []) for w in words]
         open_words = [i for i, w in enumerate(words) if w and not out[i]]
         symbols = np.frombuffer(b"".join(words[i] for i in open_words), np.uint8)
         if not len(symbols):
-            return out
+            return [ids.tobytes() for ids in out]
         ends = np.cumsum([len(words[i]) for i in open_words])
         places = np.arange(len(symbols))
         follow = places + 1
@@ -112,7 +116,7 @@ class Merger:
             while p >= 0:
                 word.append(ids[p])
                 p = after[p]
-        return out
+        return [ids.tobytes() for ids in out]
 
     def _merge(self, ids, after, before, index, rank_at) -> None:
         """``rank_at``: what the pair that begins at a place merges to now; stale index entries differ."""
@@ -179,7 +183,8 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.merger, self.split = Merger(ranks), regex.compile(pattern)
         self.cut = regex.compile(r"(?<=\S) (?=\S)")
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
+        self.size = 0
 
     def pieces(self, text: str) -> Iterator[str]:
         start = 0
@@ -188,35 +193,57 @@ class Encoder:
             start = cut.start()
         yield text[start:]
 
-    def encode(self, texts: list[str | None]) -> Iterator[list[int]]:
-        """Token ids of each text of a block."""
-        if len(self.known) > REMEMBERED:
+    def words(self, text: str | None) -> Iterator[list[str]]:
+        """The pre-tokens of a text, piece by piece."""
+        return map(self.split.findall, self.pieces(text)) if text else iter(())
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Replay the merges over those pre-tokens that aren't known."""
+        if self.size > REMEMBERED_BYTES:
             self.known.clear()
-        number: dict[str, int] = {}
-        numbered = []
-        for text in texts:
-            found = chain.from_iterable(map(self.split.findall, self.pieces(text or "")))
-            numbered.append([number.setdefault(w, len(number)) for w in found])
-        words = list(number)
+            self.size = 0
         new = [w for w in words if w not in self.known]
-        self.known.update(zip(new, self.merger.replay([w.encode() for w in new]), strict=True))
-        coded = [self.known[w] for w in words]
-        for places in numbered:
-            yield list(chain.from_iterable(map(coded.__getitem__, places)))
-
-
-def blocks(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.Table]:
-    """Batches joined to blocks of the corpus."""
+        found = self.merger.replay([w.encode() for w in new])
+        self.known.update(zip(new, found, strict=True))
+        self.size += len(new) * ENTRY_BYTES + 2 * sum(map(len, new)) + sum(map(len, found))
+
+    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Token ids of each text of a block, as int32 bytes."""
+        split = [[words for words in self.words(text)] for text in texts]
+        met: set[str] = set()
+        for pieces in split:
+            met.update(*pieces)
+        self.learn(met)
+        del met
+        known = self.known.__getitem__
+        for i, pieces in enumerate(split):
+            yield b"".join(b"".join(map(known, words)) for words in pieces)
+            split[i] = []
+
+
+def blocks(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[list[pa.RecordBatch]]:
+    """Runs of batches that make up a block of the corpus."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
         held.append(batch)
         size += batch.column(text).nbytes
         if size >= BLOCK_CHARS:
-            yield pa.Table.from_batches(held)
+            yield held
             held, size = [], 0
     if held:
-        yield pa.Table.from_batches(held)
+        yield held
+
+
+def encoded_batches(
+    batches: Iterable[pa.RecordBatch], encoder: Encoder, text: str
+) -> Iterator[tuple[pa.RecordBatch, list[str | None], list[bytes]]]:
+    """Every batch with its texts and their ids, block by block."""
+    for block in blocks(batches, text):
+        coded = encoder([value for batch in block for value in batch.column(text).to_pylist()])
+        while block:
+            batch = block.pop(0)
+            yield batch, batch.column(text).to_pylist(), list(islice(coded, batch.num_rows))
 
 
 def _ranks(df: DataFrame, path: str):
@@ -232,12 +259,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, token = Encoder(ranks.value, pattern), token_table(ranks.value)
-        for block in blocks(batches, text):
-            texts = block.column(text).to_pylist()
-            ids = list(encoder.encode(texts))
-            same = [decode_bytes(x, token) == (t or "").encode() for x, t in zip(ids, texts, strict=True)]
-            block = block.append_column("tokens", pa.array(ids, pa.list_(pa.int32())))
-            yield from block.append_column("round_trip", pa.array(same)).to_batches(max_chunksize=256)
+        for batch, texts, coded in encoded_batches(batches, encoder, text):
+            same = [
+                decode_bytes(memoryview(ids).cast("i").tolist(), token) == (value or "").encode()
+                for ids, value in zip(coded, texts, strict=True)
+            ]
+            yield batch.append_column("tokens", id_lists(coded)).append_column("round_trip", pa.array(same, pa.bool_()))
 
     out = docs.withColumns({"tokens": F.array().cast("array<int>"), "round_trip": F.lit(True)})
     return docs.mapInArrow(run, out.schema)
@@ -258,14 +285,14 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, token = Encoder(ranks.value, pattern), token_table(ranks.value)
         name = [str(i) for i in range(len(token))]
-        for block in blocks(batches, "text"):
+        for batch, _, coded in encoded_batches(batches, encoder, "text"):
             counts, of_ids, of_bytes = [], [], []
-            for ids in encoder.encode(block.column("text").to_pylist()):
+            for held in coded:
+                ids = memoryview(held).cast("i").tolist()
                 counts.append(len(ids))
                 of_ids.append(hashlib.sha256(" ".join(map(name.__getitem__, ids)).encode()).hexdigest())
                 of_bytes.append(hashlib.sha256(decode_bytes(ids, token)).hexdigest())
-            keys = block.column("doc_id").combine_chunks()
-            columns = [keys, pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_bytes)]
+            columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids), pa.array(of_bytes)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     key = docs.schema["doc_id"].dataType.simpleString()
