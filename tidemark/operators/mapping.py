@@ -23,12 +23,29 @@ def _is_of(held: T.DataType, declared: str) -> bool:
     return declared in (held.simpleString(), held.typeName())
 
 
+def failure_counts(schema: T.StructType, mappings: Sequence[Mapping], prefix: str = "") -> list[Column]:
+    """Aggregates, one for each target: how many values can't be cast and so become NULL."""
+    counts = []
+    for (source, _, target, _), mapped in zip(mappings, mapped_columns(schema, mappings), strict=True):
+        counts.append(F.count_if(F.col(f"`{source}`").isNotNull() & mapped.isNull()).alias(f"{prefix}{target}"))
+    return counts
+
+
 def failed_values(df: DataFrame, mappings: Sequence[Mapping]) -> DataFrame:
     """One row: how many values of each target can't be cast and so become NULL."""
-    counts = []
-    for (source, _, target, _), mapped in zip(mappings, mapped_columns(df.schema, mappings), strict=True):
-        counts.append(F.count_if(F.col(f"`{source}`").isNotNull() & mapped.isNull()).alias(target))
-    return df.agg(*counts)
+    return df.agg(*failure_counts(df.schema, mappings))
+
+
+def bad_values(df: DataFrame, mappings: Sequence[Mapping], keep: Sequence[str] = ()) -> DataFrame:
+    """The values that can't be cast: ``keep``, target and the value as text, one row each."""
+    told = [
+        F.when(
+            F.col(f"`{source}`").isNotNull() & mapped.isNull(),
+            F.struct(F.lit(target).alias("target"), F.col(f"`{source}`").cast("string").alias("held")),
+        )
+        for (source, _, target, _), mapped in zip(mappings, mapped_columns(df.schema, mappings), strict=True)
+    ]
+    return df.select(*keep, F.explode(F.array_compact(F.array(*told))).alias("_bad")).select(*keep, "_bad.*")
 
 
 def mapped_columns(schema: T.StructType, mappings: Sequence[Mapping], style: str = "json") -> list[Column]:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import revision_prefix
-from tidemark.operators.sizing import chunked_lists, short_lists
+from tidemark.operators.sizing import broadcast_if_small, chunked_lists, numbered, short_lists
 from tidemark.schemas import DATASET_NAME, KEYS, MANIFEST_PREFIX
 
 #: Revisions with more data files than this keep only the tall form.
@@ -39,6 +39,7 @@ def data_assets(
     at: Column | None = None,
     dataset_name: str = DATASET_NAME,
     manifest_prefix: str = MANIFEST_PREFIX,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Listed assets that are data, one row each, with bucket, key and version.
 
@@ -55,6 +56,7 @@ def data_assets(
         "pos",
         "name",
         asset_descriptor(bucket, key).alias("asset"),
+        *also,
     )
 
 
@@ -96,9 +98,9 @@ def pack_data_files(assets: DataFrame, max_rows: int = LIST_ROWS) -> DataFrame:
     return lists.select(*KEYS, F.map_from_entries(grouped).alias("data_files"))
 
 
-def asset_chunks(assets: DataFrame, rows: int = 1000) -> DataFrame:
+def asset_chunks(assets: DataFrame, rows: int = 1000, path: str | None = None) -> DataFrame:
     """(keys, chunk, assets): all assets of every revision in listing order, however many."""
-    return chunked_lists(assets, KEYS, ["pos", "name"], F.struct("pos", "name", "asset"), rows, "assets")
+    return chunked_lists(assets, KEYS, ["pos", "name"], F.struct("pos", "name", "asset"), rows, "assets", path)
 
 
 def build_revisions(
@@ -133,11 +135,29 @@ def explode_assets(revisions: DataFrame, dataset_name: str = DATASET_NAME, files
     )
 
 
+def every_asset(
+    revisions: DataFrame, assets: DataFrame, dataset_name: str = DATASET_NAME, files: str = "data_files"
+) -> DataFrame:
+    """``explode_assets`` of every revision, however many files it has.
+
+    ``assets`` are the tall rows (see ``data_assets``). They serve the revisions whose map is
+    NULL because their list was too long for one row; all others come from their map.
+    """
+    keep = [c for c in revisions.columns if c != files]
+    short = explode_assets(revisions.where(F.col(files).isNotNull()), dataset_name, files)
+    long = revisions.where(F.col(files).isNull() & (F.col("n_data_files") > 0)).select(*keep)
+    tall = assets.where(F.col("dataset_name") == dataset_name).select(*KEYS, F.col("pos").alias("_pos"), "name", "asset")
+    # the long revisions are the small side, whatever share of the files is theirs
+    chosen = tall.join(broadcast_if_small(long.select(*KEYS)), KEYS, "left_semi")
+    placed = numbered(chosen, KEYS, ["_pos", "name"]).select(*KEYS, F.col("place").cast("int").alias("pos"), "asset")
+    return short.unionByName(placed.join(broadcast_if_small(long), KEYS).select(*keep, "pos", "asset"))
+
+
 def without_assets(revisions: DataFrame, dataset_name: str = DATASET_NAME, files: str = "data_files") -> DataFrame:
     """Revisions with no assets under the entry: the reject output of ``explode_assets``.
 
     A NULL map of a revision that counts data files stands for a list too long for one
-    row (see ``asset_chunks``), not for none.
+    row (its assets come with ``every_asset``), not for none.
     """
     entry = F.try_element_at(files, F.lit(dataset_name))
     if "n_data_files" in revisions.columns:

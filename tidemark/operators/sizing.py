@@ -5,6 +5,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import scratch
+
 BROADCAST_BYTES = 128 * 1024 * 1024
 
 
@@ -74,6 +76,31 @@ def _counted(rows: DataFrame, keys: Sequence[str], order: Sequence[str], max_row
     return counts.join(lists, list(keys), "left").select(*keys, listed.alias(name))
 
 
+def numbered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str | None = None, name: str = "place"
+) -> DataFrame:
+    """``df`` with each row's place, from 0 and without gaps, along ``order`` within its keys.
+
+    Range partitioning on (keys, order) spreads a long group over many tasks. The ranges are
+    written (to ``path``) with their number first, so a stage that is run again finds the
+    same ones; then the rows of a key in earlier ranges are added up, a number for each range
+    and key, and a row's place is that sum plus its place within its range. No task holds a
+    group. Keys must not be NULL; rows of equal order are told apart by their other columns.
+    """
+    spark = df.sparkSession
+    path = path or scratch(spark, "ranges")
+    ties = F.xxhash64(*df.columns)
+    ranged = df.withColumn("_tie", ties).repartitionByRange(*keys, *order, "_tie")
+    ranged.withColumn("_part", F.spark_partition_id()).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path)
+    counts = rows.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*keys, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    within = F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order, "_tie")) - 1
+    placed = rows.withColumn("_within", within).join(starts, [*keys, "_part"])
+    return placed.select(*df.columns, (F.col("_start") + F.col("_within")).alias(name))
+
+
 def chunked_lists(
     df: DataFrame,
     keys: Sequence[str],
@@ -81,20 +108,16 @@ def chunked_lists(
     value: Column,
     rows: int = 1000,
     name: str = "items",
+    path: str | None = None,
 ) -> DataFrame:
-    """(keys, chunk, list): every group's values in order, in lists of at most ``rows``.
+    """(keys, chunk, list): every group's values in order, in lists of ``rows``, the last one shorter.
 
-    Range partitioning on (keys, order) spreads a long group over many tasks, and rows
-    are numbered within a partition, so no task holds a group. ``chunk`` rises along a
-    group's order; it has gaps where a group goes on in another partition.
+    Chunks are numbered from 0 without gaps (see ``numbered``); no task holds a group.
     """
     kept = df.select(*keys, *[c for c in order if c not in keys], value.alias("_value"))
-    ranged = kept.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id())
-    window = Window.partitionBy("_part", *keys).orderBy(*order)
-    place = F.row_number().over(window) - 1
-    chunk = F.col("_part").cast("long") * (1 << 32) + F.floor(place / rows)
-    numbered = ranged.withColumns({"_place": place, "chunk": chunk})
-    lists = numbered.groupBy(*keys, "chunk").agg(
+    placed = numbered(kept, keys, order, path, "_place")
+    chunk = F.floor(F.col("_place") / rows).alias("chunk")
+    lists = placed.groupBy(*keys, chunk).agg(
         F.array_sort(F.collect_list(F.struct("_place", "_value"))).alias("_rows")
     )
     return lists.select(*keys, "chunk", F.transform("_rows", lambda r: r["_value"]).alias(name))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import time_text
 from tidemark.operators.latest import latest_by
-from tidemark.schemas import ASSET_LOG, KEYS, READY, STATE_LOG
+from tidemark.schemas import ASSET_LOG, KEYS, READY, REJECTED, STATE_LOG
 
 #: Order of two versions of a key written by the same batch.
 STEP_PUT = 0
@@ -22,6 +22,11 @@ def ready_rows(revisions: DataFrame, at: Column) -> DataFrame:
     )
 
 
+def given_up(ready: DataFrame, most: int) -> DataFrame:
+    """Ready rows asked for ``most`` times already, as REJECTED rows: a new event puts them again."""
+    return ready.where(F.coalesce("attempts", F.lit(1)) >= most).withColumn("status", F.lit(REJECTED))
+
+
 def put_revisions(
     state: DataFrame, new: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[str] | None = None
 ) -> DataFrame:

@@ -15,6 +15,9 @@ MAPPED_FIELD = "timestampssincelastrevision"
 MESSAGE_LIMIT_BYTES = 2048
 GATE_MINUTES = 10
 
+#: Asked for so often without an export that it is not looked for again.
+REJECTED = "REJECTED"
+
 KEYS = ["dataset_id", "revision_id"]
 
 CORRUPT = "_corrupt_record"
@@ -84,6 +87,8 @@ STATE_LOG = T.StructType(
         T.StructField("data_files", DATA_FILES),
         T.StructField("data_files_csv", T.ArrayType(ASSET)),
         T.StructField("time_to_exist", T.LongType()),
+        T.StructField("n_csv_files", T.LongType()),
+        T.StructField("attempts", T.LongType()),
         T.StructField("batch", T.LongType()),
         T.StructField("step", T.IntegerType()),
     ]
@@ -97,6 +102,8 @@ ASSET_LOG = T.StructType(
         T.StructField("pos", T.LongType()),
         T.StructField("name", T.StringType()),
         T.StructField("key", T.StringType()),
+        T.StructField("file_path", T.StringType()),
+        T.StructField("bytes", T.LongType()),
         T.StructField("batch", T.LongType()),
     ]
 )

@@ -80,6 +80,18 @@ def _plain(names: Sequence[str]) -> bool:
     return not any(c in name for name in names for c in "*?[]{}\\")
 
 
+def _nameable(folder: str) -> str:
+    """The folder, or the deepest one above it whose path no reader takes for a pattern."""
+    while not _plain([folder]):
+        folder = folder.rpartition("/")[0]
+    return folder
+
+
+def escaped(path: str) -> str:
+    """A path whose signs stand for themselves where patterns are allowed."""
+    return "".join(f"\\{c}" if c in "*?[]{}\\" else c for c in path)
+
+
 def existing_folders(spark: SparkSession, folders: Sequence[str], threads: int = 16) -> list[str]:
     """Folders a path or pattern stands for; those that are not there are left out."""
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -98,13 +110,23 @@ def _few(df: DataFrame, limit: int) -> list[dict] | None:
     return [row.asDict() for row in rows] if len(rows) <= limit else None
 
 
+def fixed_prefix(layout: str) -> str:
+    """Leading folders of a layout that name no variable part."""
+    fixed = []
+    for segment in layout.split("/"):
+        if "*" in segment or "{" in segment:
+            break
+        fixed.append(segment)
+    return "/".join(fixed)
+
+
 def list_requested(requested: DataFrame, root: str, layout: str, max_folders: int = MAX_FOLDERS) -> DataFrame:
     """Listing of the requested (dataset_id, revision_id), at the cost of those alone.
 
     ``layout`` says where a revision's folder is below ``root``, such as
     ``in/*/*/*/*/{dataset_id}/{revision_id}``. Up to ``max_folders`` requests are
-    looked up by folder; more by the folders of their data sets, then by listing
-    ``root``. All give the same rows.
+    looked up by folder; more by the folders of their data sets, then by listing the
+    layout's fixed prefix. All give the same rows. ``file_index`` answers without look-ups.
     """
     spark = requested.sparkSession
     keys = ["dataset_id", "revision_id"]
@@ -112,32 +134,43 @@ def list_requested(requested: DataFrame, root: str, layout: str, max_folders: in
     folders = None
     for columns, pattern in ((keys, layout), (keys[:1], above)):
         names = _few(requested.select(*columns), max_folders)
-        if names is not None and _plain([v for row in names for v in row.values()]):
-            folders = existing_folders(spark, [f"{root.rstrip('/')}/{pattern.format(**row)}" for row in names])
-            if not folders:
-                return list_assets(spark, root).limit(0)
+        if names is not None:
+            told = [{c: escaped(v) for c, v in row.items()} for row in names]
+            folders = existing_folders(spark, [f"{root.rstrip('/')}/{pattern.format(**row)}" for row in told])
+            folders = sorted({_nameable(f) for f in folders})
             break
+    else:
+        # more than can be named: what the layout fixes, never other folders below the root
+        fixed = fixed_prefix(layout)
+        folders = existing_folders(spark, [f"{root.rstrip('/')}/{fixed}" if fixed else root])
+    if not folders:
+        return list_assets(spark, root).limit(0)
     wanted = broadcast_if_small(requested.select(*keys).distinct())
     return list_assets(spark, root, folders=folders).join(wanted, keys, "left_semi")
 
 
-def scan_folders(assets: DataFrame, root: str, max_folders: int = MAX_FOLDERS) -> list[str] | None:
+def scan_folders(
+    assets: DataFrame, root: str, max_folders: int = MAX_FOLDERS, inputs: str = ""
+) -> list[str] | None:
     """Folders below ``root`` that together hold the assets, or None for all of it.
 
+    When they are too many to name, ``inputs`` is the folder that holds all assets.
+
     The deepest level with at most ``max_folders`` folders is taken: the assets' own,
     else those one level up, and so on. The folders only narrow what is listed and
     opened; which files count is decided by a join.
     """
     folder = parent(F.col("key"))
+    whole = [f"{root.rstrip('/')}/{inputs}"] if inputs else None
     for level in range(MAX_LEVELS):
         names = _few(assets.select(folder.alias("f")), max_folders)
         found = [row["f"] for row in names or []]
         if "" in found:
-            return None
+            return whole
         if found and _plain(found):
             return [f"{root.rstrip('/')}/{name}" for name in found]
         folder = F.when(folder.contains("/"), parent(folder)).otherwise("")
-    return None
+    return whole
 
 
 def locate_assets(assets: DataFrame, root: str, folders: Sequence[str] | None = None) -> DataFrame:
