@@ -38,4 +38,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from checkset import catalog, events, messages, scalars, scans, state, status, streams  # noqa: F401
+    from checkset import catalog, events, feeds, messages, scalars, scans, state, status, streams  # noqa: F401

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from checkset import query, table
 from tidemark.functions.text import content_hash
 from tidemark.operators.events import dedup_events, event_rule, match_events, parse_events, unreadable_events
+from tidemark.operators.span import dedup_within_span, micros
+from tidemark.session import scratch
 
 
 def event_body(source, resources, revision_ids):
@@ -142,3 +144,30 @@ def content_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Earliest of equal bodies in each group."""
     documents = table(spark, sf_dir, "documents").select("lang", "doc_id", "text")
     return dedup_events(documents, ["lang"], "text", ["doc_id"])
+
+
+SPAN_HOURS = 36
+
+
+@query(
+    f"""WITH RECURSIVE ordered AS (
+          SELECT event_type, user_id, epoch_us(ts) AS t FROM events),
+        kept AS (
+          SELECT event_type, user_id, min(t) AS t FROM ordered GROUP BY 1, 2
+          UNION ALL
+          SELECT k.event_type, k.user_id, min(o.t) AS t FROM kept k JOIN ordered o
+            ON o.event_type = k.event_type AND o.user_id = k.user_id AND o.t >= k.t + {SPAN_HOURS * 3_600_000_000}
+          GROUP BY 1, 2)
+        SELECT event_type, user_id, t AS at_micros FROM kept"""
+)
+def span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies within the span after the last accepted one go, over three batches and one replay."""
+    ledger = scratch(spark, "ledger")
+    events = table(spark, sf_dir, "events").select("event_type", F.col("user_id").cast("string").alias("body"), "user_id", "ts")
+    out = None
+    for batch, (low, high) in enumerate([("2000", "2024-01-10"), ("2024-01-10", "2024-01-20"), ("2024-01-20", "2100")]):
+        part = events.where((F.col("ts") >= low) & (F.col("ts") < high))
+        for _ in range(2 if batch == 1 else 1):
+            kept = dedup_within_span(part, ["event_type"], "body", "ts", SPAN_HOURS * 3_600_000_000, ledger, batch)
+        out = kept if out is None else out.unionByName(kept)
+    return out.select("event_type", "user_id", micros(F.col("ts")).alias("at_micros"))

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from checkset import query, table
 from checkset.events import event_body
 from checkset.scans import EVENT_LINE, write_data_files
+from tidemark.functions.status import COMPLETED, ERROR
 from tidemark.functions.text import decoded_path
 from tidemark.operators.events import parse_events
 from tidemark.plans.feed import Feed, feed_state, run_batch
@@ -20,6 +21,7 @@ from tidemark.sources.events import stream_events
 from tidemark.sources.json_lines import stream_json_lines
 from tidemark.streaming.dedup import dedup_events_stream
 from tidemark.streaming.feed import run_stream
+from tidemark.streaming.span import track_jobs
 
 
 @query("SELECT event_id, user_id, event_type, value FROM events")
@@ -135,3 +137,50 @@ def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     run()
     run()
     return _outcome(spark, feed)
+
+
+JOBS_SQL = """SELECT l_suppkey, l_linenumber, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_quantity
+                || '-' || l_extendedprice AS job_id,
+              CASE WHEN l_partkey % 997 = 0 THEN 'ERROR' WHEN l_orderkey % 499 = 0 THEN 'RUNNING' ELSE 'COMPLETED' END
+              AS state FROM lineitem"""
+
+
+@query(
+    f"""WITH jobs AS ({JOBS_SQL}),
+        failed AS (SELECT l_suppkey, min((l_linenumber, job_id)) AS first FROM jobs WHERE state = 'ERROR' GROUP BY 1),
+        told AS (
+          SELECT j.l_suppkey, bool_and(state = 'COMPLETED') AS complete, any_value(f.first) IS NOT NULL AS has_error,
+                 count(DISTINCT job_id) FILTER (WHERE state = 'COMPLETED'
+                   AND (f.first IS NULL OR (l_linenumber, job_id) < f.first)) AS n_done
+          FROM jobs j LEFT JOIN failed f ON f.l_suppkey = j.l_suppkey GROUP BY 1)
+        SELECT l_suppkey, CASE WHEN has_error THEN 'ERROR' WHEN complete THEN 'COMPLETED' ELSE 'TIMED_OUT' END AS status,
+               n_done FROM told"""
+)
+def jobs_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs of every supplier followed through three drops; what doesn't settle runs into its deadline."""
+    source, sink, checkpoint = (scratch(spark, n) for n in ("jobs", "settled", "checkpoint"))
+    lines = table(spark, sf_dir, "lineitem")
+    failed, running = F.col("l_partkey") % 997 == 0, F.col("l_orderkey") % 499 == 0
+    job_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")
+    jobs = lines.select(
+        "l_suppkey",
+        job_id.alias("job_id"),
+        F.when(failed, ERROR).when(running, "RUNNING").otherwise(COMPLETED).alias("state"),
+        F.timestamp_add("HOUR", F.col("l_linenumber"), F.lit("2024-01-01").cast("timestamp")).alias("ts"),
+        "l_linenumber",
+    )
+    # jobs of one name are one job
+    per = jobs.groupBy("l_suppkey").agg(F.count_distinct("job_id").alias("n_jobs"))
+    jobs = jobs.join(per, "l_suppkey")
+    late = spark.createDataFrame([(-1, "none", "RUNNING", 0, 2)], "l_suppkey long, job_id string, state string, l_linenumber int, n_jobs long")
+    late = late.withColumn("ts", F.lit("2024-03-01").cast("timestamp"))
+    schema = "l_suppkey BIGINT, job_id STRING, state STRING, n_jobs BIGINT, ts TIMESTAMP"
+    drops = [jobs.where("l_linenumber <= 2"), jobs.where("l_linenumber BETWEEN 3 AND 4"), jobs.where("l_linenumber > 4"), late]
+    for drop in drops:
+        drop.select(*[F.col(c).cast(t) for c, t in (x.split() for x in schema.split(", "))]).write.mode("append").parquet(source)
+        events = spark.readStream.schema(schema).parquet(source).withWatermark("ts", "1 hour")
+        tracked = track_jobs(events, ["l_suppkey"], "ts", 14 * 86_400_000)
+        tracked.select("l_suppkey", "status", "n_done").writeStream.format("parquet").option(
+            "checkpointLocation", checkpoint
+        ).trigger(availableNow=True).start(sink).awaitTermination()
+    return spark.read.schema("l_suppkey BIGINT, status STRING, n_done BIGINT").parquet(sink)

@@ -16,10 +16,13 @@ def job_ids(jobs: DataFrame, job: str = "job_id") -> DataFrame:
 def pending_jobs(requested: DataFrame, done: DataFrame, job: str = "job_id") -> DataFrame:
     """Requested rows whose job is not done.
 
-    The done side is reduced to distinct ids first, on the same partitioning the
-    join needs, so a job listed many times moves once per map task.
+    The done side is reduced to distinct ids first, so a job listed many times moves once
+    per map task. It is reduced by (hash of the id, id): the join then needs an exchange of
+    its own above that, and adaptive execution may split a requested id that holds a large
+    share of the rows, which it does only where both sides come straight from an exchange.
     """
-    return requested.join(job_ids(done, job), job, "left_anti")
+    ids = done.select(F.xxhash64(job).alias("_hash"), job).distinct().select(job)
+    return requested.join(ids, job, "left_anti")
 
 
 def unsettled_jobs(requested: DataFrame, done: DataFrame, job: str = "job_id") -> DataFrame:

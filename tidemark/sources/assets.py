@@ -26,9 +26,12 @@ def relative_key(path: Column, root: str) -> Column:
 
 
 def path_segment(path: Column, index: int) -> Column:
-    """Path segment counted from the end; of ``column=value`` the unescaped value."""
-    value = F.regexp_extract(F.element_at(F.split(path, "/"), index), r"^[A-Za-z_]\w*=(.*)$", 1)
-    plain = F.element_at(F.split(path, "/"), index)
+    """Path segment counted from the end; of ``column=value`` the unescaped value.
+
+    NULL where the path has no such segment.
+    """
+    plain = F.try_element_at(F.split(path, "/"), F.lit(index))
+    value = F.regexp_extract(plain, r"^[A-Za-z_]\w*=(.*)$", 1)
     return F.when(value != "", decoded_path(value)).otherwise(plain)
 
 
