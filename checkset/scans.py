@@ -6,11 +6,12 @@ from pyspark.sql import types as T
 
 from checkset import query, table
 from tidemark.functions.text import array_text, decoded_path, time_text
-from tidemark.operators.mapping import apply_mapping
+from tidemark.operators.mapping import apply_mapping, apply_variant_mapping
 from tidemark.operators.revisions import is_manifest
 from tidemark.schemas import CORRUPT, KEYS, MAPPED_FIELD
 from tidemark.session import scratch
 from tidemark.sinks.csv import CSV_OPTIONS, write_csv, write_named_csv
+from tidemark.sources import bookmarks
 from tidemark.sources.assets import list_assets, relative_key, scan_assets
 from tidemark.sources.json_lines import read_json_lines, read_variant_lines
 
@@ -188,3 +189,61 @@ def array_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         "doc_id", array_text(F.array("lang", "source")).alias("tags")
     )
+
+
+@query(
+    """SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '["' || lang || '","' || source || '"]'
+                           WHEN doc_id % 5 = 1 THEN CAST(n_chars AS VARCHAR)
+                           WHEN doc_id % 5 = 2 THEN lang END AS held,
+              CASE WHEN doc_id % 5 = 3 THEN 'held=true' ELSE '' END AS bad
+       FROM documents"""
+)
+def mapping_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A field that is a list, a number, a text, a flag or absent: an entry for each type but the flag."""
+    path = scratch(spark, "json")
+    documents = table(spark, sf_dir, "documents")
+    kind = F.col("doc_id") % 5
+    line = (
+        F.when(kind == 0, F.to_json(F.struct("doc_id", F.array("lang", "source").alias("held"))))
+        .when(kind == 1, F.to_json(F.struct("doc_id", F.col("n_chars").alias("held"))))
+        .when(kind == 2, F.to_json(F.struct("doc_id", F.col("lang").alias("held"))))
+        .when(kind == 3, F.to_json(F.struct("doc_id", F.lit(True).alias("held"))))
+        .otherwise(F.to_json(F.struct("doc_id")))
+    )
+    documents.select(line.alias("value")).write.text(path)
+    mappings = [("doc_id", "bigint", "doc_id", "bigint")]
+    mappings += [("held", declared, "held", "string") for declared in ("array", "bigint", "string")]
+    mapped = apply_variant_mapping(read_variant_lines(spark, path), mappings)
+    bad = F.array_join(F.transform("bad", lambda b: F.concat_ws("=", b["target"], b["held"])), ",")
+    return mapped.select("doc_id", "held", bad.alias("bad"))
+
+
+@query(
+    """SELECT event_id, CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 ELSE 2 END AS run FROM events
+       UNION ALL SELECT event_id, 2 FROM events WHERE event_type = 'click'"""
+)
+def bookmarked_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three committed runs over a growing folder; the first one's files are replaced before the third."""
+    root, ledger, out = scratch(spark, "drops"), scratch(spark, "ledger"), scratch(spark, "rows")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    schema = T.StructType.fromDDL("event_id BIGINT")
+
+    def drop(name: str, rows: DataFrame) -> None:
+        rows.write.mode("overwrite").json(f"{root}/{name}")
+
+    def run(number: int) -> None:
+        rows = bookmarks.bookmarked_scan(spark, root, ledger, number, schema, "*.json")
+        rows.select("event_id", F.lit(number).alias("run")).write.mode("overwrite").parquet(f"{out}/part={number}")
+
+    drop("a", events.where("event_type = 'click'"))
+    run(0)
+    run(0)
+    bookmarks.commit(spark, ledger, 0)
+    drop("b", events.where("event_type = 'view'"))
+    run(1)
+    bookmarks.commit(spark, ledger, 1)
+    drop("a", events.where("event_type = 'click'"))
+    drop("c", events.where("event_type NOT IN ('click', 'view')"))
+    run(2)
+    bookmarks.commit(spark, ledger, 2)
+    return spark.read.schema("event_id BIGINT, run INT").parquet(*[f"{out}/part={n}" for n in range(3)])

@@ -74,3 +74,55 @@ def apply_mapping(
     ``keep`` carries identity columns (data set, revision, asset) past the mapping.
     """
     return df.select(*keep, *mapped_columns(df.schema, mappings, style))
+
+
+#: What ``schema_of_variant`` says of a value, by the type a mapping declares.
+VARIANT_KINDS = {
+    "bigint": ("BIGINT",),
+    "double": ("DOUBLE", "FLOAT", "DECIMAL"),
+    "boolean": ("BOOLEAN",),
+    "string": ("STRING",),
+    "array": ("ARRAY",),
+    "struct": ("OBJECT",),
+}
+
+
+def _variant_mapped(held: Column, kind: Column, source_type: str, target_type: str) -> tuple[Column, Column]:
+    """(is the value of the declared type, the value mapped)."""
+    fits = F.coalesce(F.array_contains(F.lit(list(VARIANT_KINDS[source_type])), F.regexp_extract(kind, "^[A-Z]+", 0)), F.lit(False))
+    if source_type in ("array", "struct"):
+        if target_type != "string":
+            raise ValueError(f"a nested value can only become text, not {target_type}")
+        return fits, F.to_json(held)
+    return fits, F.try_variant_get(held, "$", source_type).try_cast(target_type)
+
+
+def apply_variant_mapping(
+    df: DataFrame, mappings: Sequence[Mapping], column: str = "v", keep: Sequence[str] = ()
+) -> DataFrame:
+    """A mapping over records that disagree on types, held as Variant in ``column``.
+
+    A target may be listed once for each type its source field may have; each record takes
+    the entry of the type it holds. ``bad`` lists the targets whose value had no such entry
+    or didn't cast, with the value's JSON text; a missing or null field is no failure.
+    """
+    targets: dict[str, list[Mapping]] = {}
+    for mapping in mappings:
+        targets.setdefault(mapping[2], []).append(mapping)
+    columns, bad = [], []
+    for target, entries in targets.items():
+        value = F.lit(None)
+        sources = {entry[0] for entry in entries}
+        if len(sources) > 1 or len({entry[3] for entry in entries}) > 1:
+            raise ValueError(f"{target} is mapped from several fields or to several types")
+        held = F.try_variant_get(column, f"$.{entries[0][0]}", "variant")
+        kind = F.schema_of_variant(held)
+        for _, source_type, _, target_type in entries:
+            fits, mapped = _variant_mapped(held, kind, source_type, target_type)
+            value = F.when(fits, mapped).otherwise(value)
+        columns.append(value.cast(entries[0][3]).alias(target))
+        failed = held.isNotNull() & ~F.is_variant_null(held) & F.col(target).isNull()
+        told = F.struct(F.lit(target).alias("target"), F.to_json(held).alias("held"))
+        bad.append(F.when(failed, told))
+    mapped = df.select("*", *columns)
+    return mapped.select(*keep, *targets, F.array_compact(F.array(*bad)).alias("bad"))

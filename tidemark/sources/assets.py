@@ -123,6 +123,13 @@ def fixed_prefix(layout: str) -> str:
     return "/".join(fixed)
 
 
+def nameable_files(files: DataFrame, most: int = MAX_FOLDERS) -> list[str] | None:
+    """Paths of ``files`` if they are few and none would be read as a pattern."""
+    rows = _few(files.select("file_path"), most)
+    paths = [row["file_path"] for row in rows or []]
+    return paths if rows is not None and _plain(paths) else None
+
+
 def list_requested(requested: DataFrame, root: str, layout: str, max_folders: int = MAX_FOLDERS) -> DataFrame:
     """Listing of the requested (dataset_id, revision_id), at the cost of those alone.
 
