@@ -9,7 +9,7 @@ from tidemark.operators.mapping import apply_variant_mapping, bad_values
 from tidemark.sources import bookmarks
 from tidemark.sources.json_lines import read_variant_lines
 
-SCHEMA = T.StructType.fromDDL("n BIGINT")
+SCHEMA = T.StructType([T.StructField("n", T.LongType())])
 
 
 @pytest.mark.parametrize("most", [0, 1000])
