@@ -11,8 +11,9 @@ weights to ``PRIOR`` instead of zero, which is what an unlabelled corpus gets.
 Pages are decoded by Viterbi, each on its own.
 
 Nulls: null or empty html, and pages without text, give an empty text. Very long pages
-are taken whole. Broken markup: unknown and unmatched tags are passed over, an unclosed
-comment or script ends with the page. Repeated rows and ties (text wins) get equal
+are taken whole, in time that grows with their length, whatever their markup. Broken
+markup: unknown and unmatched tags are passed over, an unclosed comment or script ends with
+the page; an element that is left out, such as a button, but isn't closed counts for nothing. Repeated rows and ties (text wins) get equal
 results; empty tables give empty results. Extra columns are not read.
 """
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +42,12 @@ BLOCK_TAGS = frozenset(
     "summary table tbody td tfoot th thead tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW_TAGS = frozenset("script style noscript template textarea title svg iframe object button select".split())
+#: Their content is no markup; without an end tag it goes on to the end of the page.
+RAW_TAGS = frozenset("script style textarea title".split())
+#: Elements whose text isn't the page's; without an end tag further on they count for nothing.
+LEFT_OUT = frozenset("noscript template svg iframe object button select".split())
+#: Of these, such as can't hold blocks: a block that opens ends them.
+NO_BLOCKS = frozenset("svg iframe button select".split())
 #: An opening tag ends open elements of these kinds.
 ENDED_BY = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -62,25 +69,97 @@ PRIOR = {
     "word:content": 1.0, "word:main": 1.5,
 }
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
+_STOP = re.compile("[<>\"']")
 _NAMED = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
+class Stack:
+    """Open elements; each knows the tags and words of itself and all above it."""
+
+    def __init__(self):
+        self.held: list[tuple[str, frozenset, frozenset]] = []
+        self.count: Counter[str] = Counter()
+        self.hidden = 0  # how many of them are left out
+
+    def top(self) -> str:
+        return self.held[-1][0] if self.held else ""
+
+    def push(self, tag: str, words: frozenset = frozenset()) -> None:
+        tags, known = self.held[-1][1:] if self.held else (frozenset(), frozenset())
+        # equal sets are shared, however deep the page
+        self.held.append((tag, tags if tag in tags else tags | {tag}, known if words <= known else known | words))
+        self.count[tag] += 1
+        self.hidden += tag in LEFT_OUT
+
+    def pop(self) -> str:
+        tag = self.held.pop()[0]
+        self.count[tag] -= 1
+        self.hidden -= tag in LEFT_OUT
+        return tag
+
+    def close(self, tag: str) -> None:
+        """End the innermost element of a kind, if there is one."""
+        if self.count[tag]:
+            while self.pop() != tag:
+                pass
+
+
 class Block:
     __slots__ = ("link_chars", "parents", "tag", "text", "words")
 
-    def __init__(self, text: str, link_chars: int, stack: list[tuple[str, frozenset]]):
+    def __init__(self, text: str, link_chars: int, stack: Stack):
         self.text, self.link_chars = text, link_chars
-        self.tag = stack[-1][0] if stack else "body"
-        self.parents = frozenset(t for t, _ in stack)
-        self.words = frozenset().union(*(w for _, w in stack))
+        self.tag = stack.top() or "body"
+        self.parents, self.words = stack.held[-1][1:] if stack.held else (frozenset(), frozenset())
+
+
+def tokens(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, tag, closing, attributes) of every tag; comments and declarations have no tag.
+
+    One pass: a tag ends at ``>`` outside quotes, or before the next ``<``. If quotes hide
+    every later ``>``, the tag ends at the first one, and quotes mean nothing from there on.
+    """
+    at, quotes, last = 0, True, page.rfind(">")
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = end + 3 if end >= 0 else len(page)
+            yield start, at, "", False, ""
+            continue
+        if start > last:
+            return
+        if page[start + 1 : start + 2] in ("!", "?"):
+            at = page.find(">", start) + 1
+            yield start, at, "", False, ""
+            continue
+        name = _NAME.match(page, start)
+        if not name:
+            at = start + 1
+            continue
+        end = at = name.end()
+        while True:
+            stop = _STOP.search(page, at)
+            if not stop:
+                # all that follows is quoted
+                at, quotes = page.find(">", end) + 1, False
+                break
+            at = stop.start()
+            if stop[0] == ">":
+                at += 1
+                break
+            if stop[0] == "<":
+                break
+            closed = page.find(stop[0], at + 1) if quotes else -1
+            at = closed + 1 if closed >= 0 else at + 1
+        yield start, at, name[1].lower(), page[start + 1] == "/", page[end:at].rstrip(">")
 
 
 def leaf_blocks(page: str) -> list[Block]:
     """Blocks with text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset]] = []
+    stack = Stack()
     parts: list[str] = []
     links = [0, 0]  # depth, characters
 
@@ -91,51 +170,73 @@ def leaf_blocks(page: str) -> list[Block]:
         parts.clear()
         links[1] = 0
 
-    at = 0
-    while found := _TOKEN.search(page, at):
-        if found.start() > at:
-            parts.append(page[at : found.start()])
+    lowered: str | None = None
+    ends: dict[str, int] = {}
+
+    def last_end(tag: str) -> int:
+        """Where the last end tag of a kind stands; looked up once."""
+        nonlocal lowered
+        if tag not in ends:
+            lowered = page.lower() if lowered is None else lowered
+            ends[tag] = lowered.rfind(f"</{tag}")
+        return ends[tag]
+
+    at = raw_end = 0
+    for start, end, tag, closing, told in tokens(page):
+        if start < raw_end:
+            continue
+        if start > at and not stack.hidden:
+            parts.append(page[at:start])
             if links[0]:
-                links[1] += found.start() - at
-        at = found.end()
-        name = found[2]
-        if not name:
+                links[1] += start - at
+        at = end
+        if not tag:
             continue
-        tag, closing = name.lower(), bool(found[1])
         if tag in RAW_TAGS and not closing:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            found = _RAW_END[tag].search(page, at)
+            at = raw_end = found.end() if found else len(page)
             if tag != "title":
                 parts.append(" ")
             continue
+        if tag in LEFT_OUT:
+            parts.append(" ")
+            if closing:
+                stack.close(tag)
+            elif not told.endswith("/") and last_end(tag) > at:
+                stack.push(tag)
+            continue
         if tag == "a":
             links[0] = 0 if closing else 1
         if tag == "br":
             parts.append(" ")
         if tag not in BLOCK_TAGS:
             continue
-        flush()
+        if not (stack.hidden and tag == "option"):
+            flush()
         links[0] = 0
         if closing:
-            if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            stack.close(tag)
             continue
         if tag in VOID_TAGS:
             continue
-        if stack and stack[-1][0] == "p":
+        while tag != "option" and stack.top() in NO_BLOCKS:
+            stack.pop()
+        if stack.top() == "p":
             stack.pop()
         ended = ENDED_BY.get(tag, ())
-        while stack and stack[-1][0] in ended:
+        while stack.top() in ended:
             stack.pop()
-        named = " ".join("".join(m.groups("")) for m in _NAMED.finditer(found[3])) if found[3] else ""
-        stack.append((tag, frozenset(w.lower() for w in _WORDS.findall(named))))
-    if at < len(page):
+        named = " ".join("".join(m.groups("")) for m in _NAMED.finditer(told)) if told else ""
+        stack.push(tag, frozenset(w.lower() for w in _WORDS.findall(named)))
+    if at < len(page) and not stack.hidden:
         parts.append(page[at:])
     flush()
     return out
 
 
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW_TAGS}
+
+
 def features(blocks: list[Block], hide: frozenset = frozenset()) -> list[list[str]]:
     """Names of each block's features; ``hide`` are tags and words to leave out."""
     out = []
@@ -265,13 +366,13 @@ def fit(pages: list[tuple[list[list[str]], list[int]]]) -> Field:
 
 def train(pages: DataFrame) -> Field:
     """The field of a bounded sample: the first pages by hash of page_id and url."""
-    rows = (
-        pages.filter("html is not null")
-        .select(F.xxhash64("page_id", "url").alias("_order"), F.col("html").cast("string").alias("html"))
-        .orderBy("_order", "html")
-        .limit(TRAINING_PAGES)
-        .collect()
+    held = pages.filter("html is not null").select(
+        F.xxhash64("page_id", "url").alias("_order"), F.col("html").cast("string").alias("html")
     )
+    # the hashes first, then the pages they name: no task sends more than its share of these
+    first = [r[0] for r in held.select("_order").distinct().orderBy("_order").limit(TRAINING_PAGES).collect()]
+    chosen = held.filter(F.col("_order").isin(first)) if first else held.limit(0)
+    rows = chosen.groupBy("_order").agg(F.min("html").alias("html")).orderBy("_order").collect()
     labelled = []
     for row in rows:
         blocks = leaf_blocks(row["html"])
