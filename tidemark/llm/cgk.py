@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_batches
+from tidemark.llm.common import carried, restored, small_batches
 from tidemark.llm.hashing import WordHasher, mixed
 
 EDIT_PCT = 20
@@ -276,4 +276,5 @@ def with_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Rows of ``docs`` that hold no item, same columns."""
-    return with_leaks(docs, items).filter(F.size("leaks") == 0).select(*docs.columns)
+    found = with_leaks(carried(docs), items).filter(F.size("leaks") == 0)
+    return restored(found, docs)

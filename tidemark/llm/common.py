@@ -58,6 +58,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """``docs`` with every column but ``text`` under a name of its place.
+
+    Whatever other columns are called, they can't clash with what an operator computes.
+    """
+    return docs.toDF(*["text" if c == "text" else f"carried_{i}" for i, c in enumerate(docs.columns)])
+
+
+def restored(df: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` out of its ``carried`` rows, some of them changed."""
+    columns = []
+    for i, c in enumerate(docs.columns):
+        held = F.col("text" if c == "text" else f"carried_{i}")
+        columns.append((changed[c].cast(docs.schema[i].dataType) if c in changed else held).alias(c))
+    return df.select(*columns)
+
+
 def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch]) -> DataFrame:
     """``fn`` over every Arrow batch, with bounded batches."""
     small_batches(df.sparkSession)

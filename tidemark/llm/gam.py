@@ -220,7 +220,9 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality") -> Model:
     known = labels.filter(F.col(target).isNotNull() & ~is_held_out()).groupBy("doc_id").agg(F.min(target).alias("y"))
     # bounded by SAMPLE, so it may be broadcast
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # of several texts of an id the least, so that the model is the same each time
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("y").alias("y"))
     rows = with_features(texts, "doc_id", "y")
     found = rows.orderBy("doc_id").toPandas()
     x = np.array(found["x"].tolist(), float).reshape(-1, len(FEATURES))

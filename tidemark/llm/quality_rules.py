@@ -18,7 +18,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import words
+from tidemark.llm.common import carried, restored, words
 
 #: Fixed values of the rules.
 SYMBOLS = r"[#*$%&|<>]"
@@ -138,7 +138,6 @@ def keep_good(docs: DataFrame) -> DataFrame:
     # a filter moves below the projections with all they compute written out, once per use;
     # beside a row number it stays above them
     kept = F.col("kept") & (F.monotonically_increasing_id() >= 0)
-    judged = judge(docs).withColumn("kept", kept).filter("kept")
-    changed = judged.withColumns({"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")})
-    return changed.select(*docs.columns)
+    judged = judge(carried(docs)).withColumn("kept", kept).filter("kept")
+    return restored(judged, docs, text=F.col("cleaned"), n_chars=F.length("cleaned"))
 

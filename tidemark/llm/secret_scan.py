@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import carried, restored
+
 
 def either_case(word: str) -> str:
     return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
@@ -301,8 +303,10 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 def mask_secrets(docs: DataFrame) -> DataFrame:
     """All rows of ``docs``, their secrets replaced by a mark; same columns."""
-    found = find_secrets(docs).withColumn("_text", F.col("text"))
-    body = F.coalesce(F.col("_text"), F.lit(""))
-    masked = F.when(F.col("_text").isNotNull(), redacted(body, F.col("spans")))
-    changed = found.withColumn("text", masked)
-    return changed.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    found = find_secrets(carried(docs))
+    masked = F.when(F.col("text").isNotNull(), redacted(F.coalesce("text", F.lit("")), F.col("spans")))
+    changed = {"text": F.col("masked")}
+    if "n_chars" in docs.columns:
+        before = F.col(f"carried_{docs.columns.index('n_chars')}")
+        changed["n_chars"] = F.when(F.col("masked").isNotNull(), F.length("masked")).otherwise(before)
+    return restored(found.withColumn("masked", masked), docs, **changed)
