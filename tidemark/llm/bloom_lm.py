@@ -12,8 +12,8 @@
   task holds one group at a time and, when there are several, probes a block of texts
   against each in turn. A gram lies in one group. No gram is left out.
 * Score: interpolation of the bigram's relative count with the smoothed unigram, both
-  from probes. The base score uses exact counts: rows (word, block of texts) are
-  summed by word in a window, and dealt back to form the sums per text block by block.
+  from probes. The base score uses exact counts: rows (word, block of texts) are joined
+  with the words' sums, and dealt back to form the sums per text block by block.
 
 Nulls: a null text counts as empty (one end token). A row without doc_id is scored but
 not learned from, as held out. Very long texts are taken whole. Repeated rows are each
@@ -26,14 +26,14 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tidemark.llm.common import small_batches, sorted_groups, written
+from tidemark.llm.common import small_batches, sorted_groups, spread, written
 from tidemark.llm.hashing import WordHasher, mixed
 
 END = np.uint64(0x5851F42D4C957F2D)
@@ -42,8 +42,9 @@ BITS, HASHES = 8, 4
 FILTER_BYTES, PROBE_BYTES = 256 << 20, 16 << 20
 #: Share of the bigram estimate; the unigram estimate has the rest.
 BIGRAM_SHARE = 0.2
-#: Texts whose words are summed together before they leave a task, and tokens likewise.
-BLOCK_BYTES, FLUSH_TOKENS = 8 << 20, 4 << 20
+#: Texts whose words are summed together before they leave a task, and tokens likewise;
+#: texts that are scored together.
+BLOCK_BYTES, FLUSH_TOKENS, SCORE_BYTES = 8 << 20, 4 << 20, 4 << 20
 #: Additive smoothing of the unigram estimates.
 ADDED = 0.1
 
@@ -88,11 +89,21 @@ def text_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int = BLOCK_BYTE
 # exact counts ---------------------------------------------------------------------------
 
 
+def packed_pairs(place: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs as uint32, counts of over 255 in several, and where each one's end."""
+    parts = (count + 254) // 255
+    ends = np.cumsum(parts)
+    high = place.astype(np.uint32) << np.uint32(8)
+    pairs = np.repeat(high | np.uint32(255), parts)
+    pairs[ends - 1] = high | (count - 255 * (parts - 1)).astype(np.uint32)
+    return pairs, ends
+
+
 def word_rows(docs: DataFrame) -> DataFrame:
     """(word, block, trained, texts): the texts of a block that hold a word, and how often it was trained on.
 
-    ``texts`` are packed pairs (place in the block, count). One more row per block has the row
-    keys of its texts, under a word of its own.
+    ``texts`` are packed pairs (place in the block, count) of 24 and 8 bits; a larger count
+    takes several. One more row per block has the row keys of its texts, under a word of its own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,10 +121,10 @@ def word_rows(docs: DataFrame) -> DataFrame:
             learned = ~np.array(block.column("held_out").to_pylist(), bool)
             heads = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             trained = np.add.reduceat(count * learned[place], heads)
-            pairs = np.stack([place, count.astype(np.int32)], axis=1).tobytes()
-            offsets = (np.r_[heads, len(word)] * 8).astype(np.int32)
+            pairs, ends = packed_pairs(place, count)
+            offsets = (np.r_[0, ends][np.r_[heads, len(word)]] * 4).astype(np.int32)
             packs = pa.Array.from_buffers(
-                pa.binary(), len(heads), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pairs)]
+                pa.binary(), len(heads), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pairs.tobytes())]
             )
             own = np.array([part + number])
             yield pa.RecordBatch.from_arrays(
@@ -136,28 +147,26 @@ def word_rows(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "word long, block long, trained long, texts binary, keys array<bigint>")
 
 
-def counted_rows(docs: DataFrame) -> DataFrame:
-    """(block, n, texts, keys, first): rows of words with their count over all training texts.
+def counted_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(word, block, trained, texts, keys) rows and (word, n): each word's count over all training texts.
 
-    A word has a row per block at most, so the window's groups stay small; ``first`` marks
-    one row of each trained word.
+    Counts are added up in each task before they move, so a word that every block has costs
+    a row per task.
     """
-    own = Window.partitionBy("word")
-    rows = word_rows(docs).select(
-        "block",
-        F.sum("trained").over(own).alias("n"),
-        "texts",
-        "keys",
-        F.row_number().over(own.orderBy("block")).alias("at"),
-    )
-    first = (F.col("at") == 1) & (F.col("n") > 0)
-    return written(rows.select("block", "n", "texts", "keys", first.alias("first")), "words")
+    rows = written(word_rows(docs), "words")
+    return rows, written(rows.groupBy("word").agg(F.sum("trained").alias("n")), "counts")
+
 
+def base_scores(rows: DataFrame, counts: DataFrame, total: int, distinct: int) -> DataFrame:
+    """(row_key, n_known, base_score): exact unigram scores of every text.
 
-def base_scores(rows: DataFrame, total: int, distinct: int) -> DataFrame:
-    """(row_key, n_known, base_score): exact unigram scores of every text."""
+    Rows meet their word's count in a join, which adaptive execution splits at a frequent
+    word, and are then dealt back to their blocks, as many partitions as there are blocks.
+    """
     norm = math.log10(total + ADDED * (distinct + 1))
-    dealt = rows.select("block", "n", "texts", "keys").repartition("block").sortWithinPartitions("block")
+    blocks = rows.where("keys IS NOT NULL").count()
+    joined = rows.select("word", "block", "texts", "keys").join(counts, "word").drop("word")
+    dealt = spread(joined, BLOCK_BYTES, blocks, "block").sortWithinPartitions("block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in sorted_groups(batches, ["block"]):
@@ -165,9 +174,9 @@ def base_scores(rows: DataFrame, total: int, distinct: int) -> DataFrame:
             words = group.filter(pc.is_valid(group.column("texts")))
             n = words.column("n").to_numpy()
             packs = words.column("texts").to_pylist()
-            sizes = np.array([len(x) for x in packs]) // 8
-            pairs = np.frombuffer(b"".join(packs), np.int32).reshape(-1, 2)
-            at, times = pairs[:, 0], pairs[:, 1]
+            sizes = np.array([len(x) for x in packs]) // 4
+            pairs = np.frombuffer(b"".join(packs), np.uint32)
+            at, times = pairs >> np.uint32(8), pairs & np.uint32(255)
             scores = np.bincount(at, np.repeat(np.log10(n + ADDED) - norm, sizes) * times, len(keys))
             known = np.bincount(at, np.repeat(n > 0, sizes) * times, len(keys)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -391,8 +400,8 @@ def score_tokens(tokens: list[np.ndarray], lookup: Filter | Groups, total: int,
     sizes = [len(t) for t in tokens]
     word = np.concatenate(tokens)
     pairs = np.concatenate([bigrams(t) for t in tokens])
-    words, word_at = np.unique(word, return_inverse=True)
-    grams, gram_at = np.unique(pairs, return_inverse=True)
+    word_at, words = pd.factorize(word)
+    gram_at, grams = pd.factorize(pairs)
     level = lookup.levels(np.concatenate([words, grams]))
     single = counts_of(level[: len(words)])[word_at]
     starts = np.cumsum([0, *sizes[:-1]])
@@ -411,8 +420,8 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score per row."""
     small_batches(docs.sparkSession)
     source = keyed(docs)
-    rows = counted_rows(source)
-    distinct, total = rows.filter("first").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    rows, counts = counted_rows(source)
+    distinct, total = counts.filter("n > 0").agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
 
     # about half a million tokens a bucket, whatever the corpus holds
     bucket_bits = max(6, math.ceil(math.log2(max(1, total) / 500_000)) + 1 if total > 500_000 else 6)
@@ -429,11 +438,11 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, lookup = WordHasher(), Groups(bucket_bits, shared)
-        for block in batches if lookup.only else text_blocks(batches, PROBE_BYTES):
-            batch = block if lookup.only else block.combine_chunks().to_batches()[0]
-            tokens = [with_end(hasher(t)) for t in batch.column("text").to_pylist()]
-            if not tokens:
+        for block in text_blocks(batches, SCORE_BYTES if lookup.only else PROBE_BYTES):
+            if not block.num_rows:
                 continue
+            batch = block.combine_chunks().to_batches()[0]
+            tokens = [with_end(hasher(t)) for t in batch.column("text").to_pylist()]
             columns = [batch.column(c) for c in ("doc_id", "held_out", "row_key")]
             columns += [
                 pa.array([len(t) for t in tokens], pa.int64()),
@@ -444,7 +453,7 @@ def score(docs: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     key = docs.schema["doc_id"].dataType.simpleString()
     kind = f"doc_id {key}, held_out boolean, row_key long, n_tokens long, score double"
     scored = source.mapInArrow(run, kind)
-    base = written(base_scores(rows, total, distinct), "base")
+    base = written(base_scores(rows, counts, total, distinct), "base")
     return scored.join(base, "row_key", "left").select(
         "doc_id",
         "held_out",
