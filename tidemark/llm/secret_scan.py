@@ -7,11 +7,21 @@ coincidence, which is the same statistic), a runs test and a lag-1 serial-correl
 test. A run is *reported* when
 
 * the battery does not speak against uniform random symbols (``MIN_RANDOM_P``), and
-* as few coincidences would be improbable for ordinary text in that encoding, after
-  Benjamini-Hochberg control at ``FDR`` over all runs of the corpus, separately by
-  length class (powers of two), because short runs give tests little power.
+* ordinary text would hardly look like it, after Benjamini-Hochberg control at ``FDR`` over
+  all runs of the corpus, separately by length class (powers of two): short runs say little.
 
-The control needs the p-values' histogram only: at most 141 bins by 32 classes reach
+How hardly is measured by one statistic with the same three parts, the *evidence* in bits:
+the run's likelihood under uniform symbols of its encoding over that under ordinary text,
+where letters come by their frequencies (uniformity), and the kind of character, small
+letter, capital, digit or sign, mostly stays as it was (runs and serial dependence). Under the
+text model such a ratio is 2^b or more with probability 2^-b at most, whatever the length, so
+2^-evidence is a p-value without a table or a floor. What the choice among the encodings
+adds is taken off.
+
+Runs of one or two different characters, decimal numbers, and runs that a base pattern
+covers are no hypotheses of the family.
+
+The control needs the evidence's histogram only: at most 129 bins by 32 classes reach
 the driver, however large the corpus is.
 
 Nulls: a null text counts as empty and has no spans. Empty texts have none. Very long
@@ -23,6 +33,8 @@ result is replaced.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +55,8 @@ ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 RUN = r"[A-Za-z0-9+/_=-]{20,}"
 KINDS = ("assign", "access", "hex", "random")
+#: Matches whose places are summed in one step.
+BLOCK = 128
 
 #: Relative letter frequencies of ordinary text, in percent.
 LETTERS = {
@@ -69,14 +83,66 @@ ENCODINGS = {
 FDR = 0.01
 #: A run counts as random unless the battery's p-value is below this.
 MIN_RANDOM_P = 0.001
-BINS_PER_DECADE, LAST_BIN = 20, 140
+#: Evidence in whole bits up to this: beyond it a run passes among any number of runs.
+LAST_BIN = 128
+#: Ordinary text: chance that the next character is of the kind given, by the kind before.
+KIND_MOVES = {
+    "lower": {"lower": 0.88, "upper": 0.05, "digit": 0.03, "sign": 0.04},
+    "upper": {"lower": 0.45, "upper": 0.45, "digit": 0.05, "sign": 0.05},
+    "digit": {"lower": 0.06, "upper": 0.06, "digit": 0.78, "sign": 0.10},
+    "sign": {"lower": 0.40, "upper": 0.20, "digit": 0.20, "sign": 0.20},
+}
+#: The first character counts as if after a sign.
+SIGNS = "+/_=-"
+
+
+def kind_of(char: str) -> str | None:
+    if char in SIGNS:
+        return "sign"
+    if not ("0" <= char <= "9" or "a" <= char.lower() <= "z"):
+        return None
+    return "digit" if char.isdigit() else "lower" if char.islower() else "upper"
+
+
+def text_bits() -> dict[str, float]:
+    """Bits that ordinary text takes for a character, by the character and the kind before it."""
+    total = sum(LETTERS.values())
+    out = {}
+    for char in (c for c in map(chr, range(128)) if kind_of(c)):
+        kind = kind_of(char)
+        share = LETTERS[char.lower()] / total if kind in ("lower", "upper") else 1 / (10 if kind == "digit" else len(SIGNS))
+        for before, moves in KIND_MOVES.items():
+            out[before + char] = -math.log2(moves[kind] * share)
+    return out
+
 
+def bound(value: Column, body) -> Column:
+    """``body`` of an array computed once, however often the body names it."""
+    return F.flatten(F.transform(F.array(value), body))
 
-def text_moments(alphabet: str) -> tuple[float, float]:
-    """Sums of squared and cubed symbol probabilities of ordinary text in ``alphabet``."""
-    weights = [LETTERS.get(c.lower(), 0.0) for c in dict.fromkeys(alphabet.lower())]
-    total = sum(weights)
-    return sum((w / total) ** 2 for w in weights), sum((w / total) ** 3 for w in weights)
+
+def in_blocks(items: Column, after, body) -> Column:
+    """``body(at, next, block)`` over blocks of an array; ``after(at, block)`` is where the next one begins.
+
+    An array or text that grows item by item is copied each time; blocks keep it short.
+    """
+
+    def cut(xs: Column) -> Column:
+        last = F.floor((F.size(xs) - 1) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(xs, i * BLOCK + 1, F.lit(BLOCK)))
+
+    def placed(blocks: Column) -> Column:
+        one = lambda at, then, block: F.struct(at.alias("at"), then.alias("next"), block.alias("block"))
+        none = F.slice(F.transform(blocks, lambda b: one(F.lit(0), F.lit(0), b)), 1, 0)
+
+        def step(acc: Column, block: Column) -> Column:
+            then = after(acc["at"], block)
+            return F.struct(then.alias("at"), F.concat(acc["done"], F.array(one(acc["at"], then, block))).alias("done"))
+
+        return F.aggregate(blocks, F.struct(F.lit(0).alias("at"), none.alias("done")), step, lambda acc: acc["done"])
+
+    done = bound(bound(items, cut), placed)
+    return F.when(F.size(items) > 0, F.transform(done, lambda b: body(b["at"], b["next"], b["block"])))
 
 
 def find_spans(text: Column, pattern: str) -> Column:
@@ -86,18 +152,26 @@ def find_spans(text: Column, pattern: str) -> Column:
     """
     hits, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern)
     none = F.array().cast("array<struct<start:int,end:int,hit:string>>")
-
-    def step(acc: Column, pair: Column) -> Column:
-        start = acc["at"] + F.length(pair["piece"])
-        end = start + F.length(pair["hit"])
-        one = F.struct(start.alias("start"), end.alias("end"), pair["hit"].alias("hit"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(one)).alias("spans"))
-
     pairs = F.zip_with(
-        F.slice(pieces, F.lit(1), F.size(hits)), hits, lambda p, h: F.struct(p.alias("piece"), h.alias("hit"))
+        F.slice(pieces, F.lit(1), F.size(hits)),
+        hits,
+        lambda p, h: F.struct(F.length(p).alias("gap"), F.length(h).alias("size"), h.alias("hit")),
     )
-    walked = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
-    return F.when(text.rlike(pattern), walked).otherwise(none)
+
+    def after(at: Column, block: Column) -> Column:
+        return F.aggregate(block, at, lambda n, p: n + p["gap"] + p["size"])
+
+    def walked(at: Column, _: Column, block: Column) -> Column:
+        def step(acc: Column, pair: Column) -> Column:
+            start = acc["at"] + pair["gap"]
+            end = start + pair["size"]
+            one = F.struct(start.alias("start"), end.alias("end"), pair["hit"].alias("hit"))
+            return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(one)).alias("spans"))
+
+        return F.aggregate(block, F.struct(at.alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
+
+    found = bound(pairs, lambda ps: F.flatten(in_blocks(ps, after, walked)))
+    return F.when(text.rlike(pattern), found).otherwise(none)
 
 
 def with_kind(spans: Column, kind: str) -> Column:
@@ -138,16 +212,23 @@ def normal_below(z: Column) -> Column:
 
 
 def tested_runs(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with ``runs``: long runs with encoding, test statistics, both p-values, length class and bin.
+    """``df`` with ``runs``: long runs with encoding, the battery's p-value, evidence, length class and bin.
 
-    Decimal numbers are no candidates: digits alone say nothing about being a secret.
+    Decimal numbers are no candidates: digits alone say nothing about being a secret. Nor are
+    runs of one or two characters, or small hex numbers, which are base spans already.
     """
     enc = lambda s: F.coalesce(
         *[F.when(s["hit"].rlike(p), F.lit(name)) for name, (p, _) in ENCODINGS.items() if p], F.lit("base64url")
     )
     alphabets = {name: alphabet for name, (_, alphabet) in ENCODINGS.items()}
-    moments = {name: text_moments(a) for name, a in alphabets.items()}
-    runs = F.filter(find_spans(F.col(text), RUN), lambda s: ~s["hit"].rlike("^[0-9]+$"))
+    bits = F.create_map(*[F.lit(x) for pair in text_bits().items() for x in pair])
+    kind = lambda c: (
+        F.when(c.rlike("[a-z]"), "lower").when(c.rlike("[A-Z]"), "upper").when(c.rlike("[0-9]"), "digit").otherwise("sign")
+    )
+    runs = F.filter(
+        find_spans(F.col(text), RUN),
+        lambda s: ~s["hit"].rlike("^[0-9a-f]+$") & (F.size(F.array_distinct(F.split(s["hit"], ""))) > 2),
+    )
     df = widen(df.withColumn("runs", runs), enc=enc)
     df = widen(df, alphabet=lambda s: chosen(s["enc"], alphabets))
     df = widen(
@@ -197,19 +278,25 @@ def tested_runs(df: DataFrame, text: str) -> DataFrame:
         z_serial=lambda s: F.when(
             s["spread"] > 0, (s["lagged"] / F.greatest(s["spread"], F.lit(1e-9)) + 1 / s["n"]) * F.sqrt(s["n"])
         ).otherwise(F.lit(9.0)),
-        p2=lambda s: chosen(s["enc"], {name: m[0] for name, m in moments.items()}),
-        p3=lambda s: chosen(s["enc"], {name: m[1] for name, m in moments.items()}),
+        # symbols only, each behind its neighbour; the first as if after a sign
+        chars=lambda s: F.filter(F.split(s["hit"], ""), lambda c: F.instr(s["alphabet"], c) > 0),
     )
+    df = widen(df, kinds=lambda s: F.transform(s["chars"], kind))
     two_sided = lambda z: 2 * normal_below(-F.abs(z))
-    text_var = lambda s: s["pairs"] * (s["p2"] - s["p2"] * s["p2"]) + 2 * s["pairs"] * (s["n"] - 2) * (
-        s["p3"] - s["p2"] * s["p2"]
-    )
     df = widen(
         df,
         # three tests: Bonferroni
         p_random=lambda s: 3
         * F.least(normal_below(-s["z_chi"]), two_sided(s["z_runs"]), two_sided(s["z_serial"])),
-        p_text=lambda s: normal_below((s["same"] - s["pairs"] * s["p2"]) / F.sqrt(text_var(s))),
+        evidence=lambda s: total(
+            F.transform(
+                s["chars"],
+                lambda c, i: F.element_at(bits, F.concat(F.when(i > 0, F.get(s["kinds"], i - 1)).otherwise("sign"), c)),
+            ),
+            lambda x: x,
+        )
+        - s["n"] * F.log2(s["k"])
+        - math.log2(len(ENCODINGS)),
     )
     result = F.transform(
         "runs",
@@ -218,12 +305,10 @@ def tested_runs(df: DataFrame, text: str) -> DataFrame:
             s["end"].alias("end"),
             s["enc"].alias("encoding"),
             s["p_random"].alias("p_random"),
-            s["p_text"].alias("p_text"),
+            s["evidence"].alias("evidence"),
             F.floor(F.log2(s["n"])).cast("int").alias("length_class"),
-            # rounded down, so that a bin's own edge is never better than its members
-            F.least(
-                F.lit(LAST_BIN), F.floor(-F.log10(F.greatest(s["p_text"], F.lit(1e-7))) * BINS_PER_DECADE)
-            ).cast("int").alias("bin"),
+            # rounded down: a bin counts as its least evidence, so control is kept
+            F.least(F.lit(LAST_BIN), F.greatest(F.lit(0), F.floor(s["evidence"]))).cast("int").alias("bin"),
         ),
     )
     return df.withColumn("runs", result)
@@ -248,7 +333,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 def cutoffs(scanned: DataFrame) -> dict[int, int]:
     """Least bin that is reported, by length class: Benjamini-Hochberg on the histogram.
 
-    p-values in a bin count as its upper edge, so control is kept.
+    A p-value is 2^-bin: evidence is rounded down, so control is kept.
     """
     runs = scanned.select(F.explode("runs").alias("r")).select("r.*")
     good = F.sum((F.col("p_random") >= MIN_RANDOM_P).cast("long"))
@@ -259,7 +344,7 @@ def cutoffs(scanned: DataFrame) -> dict[int, int]:
         m, seen = sum(r["all"] for r in own), 0
         for r in own:
             seen += r["good"]
-            if seen and 10 ** (-r["bin"] / BINS_PER_DECADE) <= FDR * seen / m:
+            if seen and 2.0 ** -r["bin"] <= FDR * seen / m:
                 found[cls] = r["bin"]
     return found
 
@@ -291,14 +376,23 @@ def spans_text(spans: Column) -> Column:
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """``text`` with every span (overlapping ones as one) replaced by ``mark``."""
 
-    def step(acc: Column, s: Column) -> Column:
-        before = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
-        out = F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], before, F.lit(mark)))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+    def after(at: Column, block: Column) -> Column:
+        return F.aggregate(block, at, lambda n, s: F.greatest(n, s["end"]))
 
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text)))
-    walked = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)
-    return F.when(F.size(spans) == 0, text).otherwise(walked)
+    def render(at: Column, then: Column, block: Column) -> Column:
+        def step(acc: Column, s: Column) -> Column:
+            before = F.substring(acc["part"], acc["at"] - at + 1, s["start"] - acc["at"])
+            out = F.when(s["start"] < acc["at"], acc["out"]).otherwise(F.concat(acc["out"], before, F.lit(mark)))
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"), acc["part"].alias("part"))
+
+        part = F.substring(text, at + 1, then - at)
+        zero = F.struct(at.alias("at"), F.lit("").alias("out"), part.alias("part"))
+        return F.aggregate(block, zero, step, lambda acc: acc["out"])
+
+    rest = F.substring(text, F.array_max(F.transform(spans, lambda s: s["end"])) + 1, F.length(text))
+    return F.when(F.size(spans) == 0, text).otherwise(
+        F.concat(F.array_join(in_blocks(spans, after, render), ""), rest)
+    )
 
 
 def mask_secrets(docs: DataFrame) -> DataFrame:
