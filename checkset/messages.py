@@ -119,10 +119,10 @@ def message_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_messages(events, path, "user_id", ["event_id"])
     back = spark.read.schema("user_id BIGINT, event_id BIGINT, message STRING").json(path)
     placed = back.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at"))
-    return _place_in_group(placed)
+    return place_in_group(placed, "user_id").select("user_id", "event_id", "message", "nth")
 
 
-def _place_in_group(placed: DataFrame) -> DataFrame:
+def place_in_group(placed: DataFrame, group: str) -> DataFrame:
     """Rank of each row in its group by file place.
 
     Ranks are taken within one file, then shifted by what the group has in earlier
@@ -130,11 +130,9 @@ def _place_in_group(placed: DataFrame) -> DataFrame:
     """
     from pyspark.sql import Window
 
-    inner = Window.partitionBy("user_id", "file").orderBy("at")
-    counts = placed.groupBy("user_id", "file").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("user_id").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.select("user_id", "file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
+    inner = Window.partitionBy(group, "file").orderBy("at")
+    counts = placed.groupBy(group, "file").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(group).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select(group, "file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
     ranked = placed.withColumn("r", F.row_number().over(inner))
-    return ranked.join(shifts, ["user_id", "file"]).select(
-        "user_id", "event_id", "message", (F.col("r") + F.col("shift")).alias("nth")
-    )
+    return ranked.join(shifts, [group, "file"]).withColumn("nth", F.col("r") + F.col("shift"))

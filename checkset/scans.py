@@ -11,6 +11,7 @@ from tidemark.operators.revisions import is_manifest
 from tidemark.schemas import CORRUPT, KEYS, MAPPED_FIELD
 from tidemark.session import scratch
 from tidemark.sinks.csv import CSV_OPTIONS, write_csv, write_named_csv
+from tidemark.sinks.manifest import live_parts, outputs, read_outputs, write_manifest_csv
 from tidemark.sources import bookmarks
 from tidemark.sources.assets import list_assets, relative_key, scan_assets
 from tidemark.sources.json_lines import read_json_lines, read_variant_lines
@@ -154,6 +155,31 @@ def csv_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT event_id, 'csv/' || event_type || '/' || strftime(ts, '%Y-%m-%d') || '.csv' AS file,
+              count(*) OVER (PARTITION BY event_type, strftime(ts, '%Y-%m-%d')) AS n_rows FROM events"""
+)
+def csv_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events read back by output name through the manifest; clicks were published wrongly first."""
+    root, manifest = scratch(spark, "root"), scratch(spark, "manifest")
+    by = ["event_type", "day"]
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day")
+    )
+    target = F.concat(F.lit("csv/"), "event_type", F.lit("/"), "day", F.lit(".csv"))
+    names = events.select(*by).distinct().withColumn("target", target)
+    clicks = F.col("event_type") == "click"
+    wrong = events.withColumn("event_id", F.when(clicks, -F.col("event_id")).otherwise(F.col("event_id")))
+    for batch, rows, chosen in ((0, wrong, names), (1, events.where(clicks), names.where(clicks))):
+        for _ in range(2):
+            rows = rows.hint("rebalance", *by)
+            write_manifest_csv(rows, root, f"out/batch={batch}", chosen, by, manifest, batch, multi_line=False)
+    parts = live_parts(spark, manifest, by)
+    told = outputs(parts).select(F.col("target").alias("file"), "n_rows")
+    back = read_outputs(spark, parts, root, "event_id BIGINT", multi_line=False)
+    return back.withColumnRenamed("target", "file").join(told, "file")
+
+
 ORDER_ROW = """'[' || l_orderkey || ',' || l_partkey || ',' || l_suppkey || ']'"""
 
 

@@ -8,15 +8,16 @@ from pyspark.sql import types as T
 
 from checkset import query, table
 from checkset.events import event_body
+from checkset.messages import place_in_group
 from checkset.scans import EVENT_LINE, write_data_files
 from tidemark.functions.status import COMPLETED, ERROR
-from tidemark.functions.text import decoded_path
+from tidemark.functions.text import decoded_path, parent
 from tidemark.operators.events import parse_events
 from tidemark.plans.feed import Feed, feed_state, run_batch
 from tidemark.schemas import KEYS
 from tidemark.session import scratch
 from tidemark.sinks.csv import CSV_OPTIONS
-from tidemark.sources.assets import list_requested, path_segment
+from tidemark.sources.assets import list_files, list_requested, path_segment
 from tidemark.sources.events import stream_events
 from tidemark.sources.json_lines import stream_json_lines
 from tidemark.streaming.dedup import dedup_events_stream
@@ -120,6 +121,82 @@ def feed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_events(_requests(spark, sf_dir))
 
 
+#: Slices of a revision: each is one file of the feed whose messages are looked at.
+SLICES = 3
+
+
+def _told(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """Messages of a feed over files of known names, with their place in their data set."""
+    root = scratch(spark, "root")
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("dataset_id"),
+        F.date_format("ts", "yyyy-MM-dd").alias("revision_id"),
+        (F.col("user_id") % SLICES).alias("slice"),
+        F.to_json(F.struct(F.array("props").alias("timestampssincelastrevision"))).alias("value"),
+    )
+    by = [*KEYS, "slice"]
+    events.repartition(*by).write.partitionBy(*by).text(f"{root}/in")
+
+    def listing(_: DataFrame) -> DataFrame:
+        files = list_files(spark, root, "part-*", [f"{root}/in"])
+        pos = path_segment(F.col("key"), -2).cast("long")
+        name = F.concat(F.lit("f"), pos, F.lit(".json"))
+        return files.select(
+            path_segment(F.col("key"), -4).alias("dataset_id"),
+            path_segment(F.col("key"), -3).alias("revision_id"),
+            pos.alias("pos"),
+            name.alias("name"),
+            F.concat(parent(F.col("key")), F.lit("/"), name).alias("key"),
+            "file_path",
+            "bytes",
+        )
+
+    feed = Feed(root, scratch(spark, "work"), "b", ("exchange",), ("published",), mode=mode)
+    run_batch(feed, _requests(spark, sf_dir), listing, 0, datetime(2024, 2, 1, 5))
+    schema = "dataset_id STRING, revision_id STRING, pos BIGINT, name STRING, message STRING"
+    back = spark.read.schema(schema).json(feed.folder("messages", 0))
+    return place_in_group(
+        back.select("*", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at")),
+        "dataset_id",
+    )
+
+
+FILES_SQL = """WITH files AS (
+         SELECT DISTINCT event_type AS dataset_id, strftime(ts, '%Y-%m-%d') AS revision_id, user_id % 3 AS pos,
+                'dataset_id=' || event_type || '/revision_id=' || strftime(ts, '%Y-%m-%d') AS folder FROM events),
+       keys AS (
+         SELECT *, 'heartbeat_csv/batch=0/' || folder || '/asset_stem=f' || pos AS csv_key,
+                'in/' || folder || '/slice=' || pos || '/f' || pos || '.json' AS key FROM files)"""
+
+
+def _message_sql(key: str) -> str:
+    return f"""'{{"dataset_id":"' || b.dataset_id || '","revision_id":"' || b.revision_id
+                || '","dataFilesMap":{{"heartbeat":['
+                || string_agg('{{"bucket":"b","key":"' || {key} || '","version":null}}', ',' ORDER BY b.pos) || ']}}}}'"""
+
+
+@query(
+    f"""{FILES_SQL}, texts AS (
+          SELECT dataset_id, revision_id, {_message_sql("csv_key")} AS message FROM keys b GROUP BY 1, 2)
+        SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY revision_id) AS nth FROM texts"""
+)
+def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the feed sends: the text of every revision's message and its place in its data set."""
+    return _told(spark, sf_dir, "revision").select("dataset_id", "revision_id", "message", "nth")
+
+
+@query(
+    f"""{FILES_SQL}, texts AS (
+          SELECT b.dataset_id, b.revision_id, a.pos,
+                 {_message_sql("CASE WHEN b.pos <= a.pos THEN b.csv_key ELSE b.key END")} AS message
+          FROM keys a JOIN keys b ON a.dataset_id = b.dataset_id AND a.revision_id = b.revision_id GROUP BY 1, 2, 3)
+        SELECT *, row_number() OVER (PARTITION BY dataset_id ORDER BY revision_id, pos) AS nth FROM texts"""
+)
+def feed_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in progress mode: a message per converted file, done keys so far, in order."""
+    return _told(spark, sf_dir, "progress").select("dataset_id", "revision_id", "pos", "message", "nth")
+
+
 @query(FEED_SQL)
 def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through the stream, in two drops of events and with a third, empty run."""

@@ -46,7 +46,7 @@ def make_feed(tmp_path):
         folder.mkdir(parents=True)
         for name, lines in files.items():
             (folder / name).write_text("".join(f"{line}\n" for line in lines))
-    return Feed(str(tmp_path / "root"), str(tmp_path / "work"), "b", ("feed",), ("published",))
+    return Feed(str(tmp_path / "root"), str(tmp_path / "work"), "b", ("feed",), ("published",), named=True)
 
 
 @pytest.fixture

@@ -38,6 +38,17 @@ def test_a_file_is_read_once_in_each_form(spark, tmp_path, monkeypatch, most):
     assert run(4) == []
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_names_with_signs_are_read(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(bookmarks, "MAX_FOLDERS", most)
+    folder = tmp_path / "root" / "in" / "k=ü a"
+    folder.mkdir(parents=True)
+    for n, name in enumerate(["a b.json", "c%20d.json", "e+f.json", "plain.json"]):
+        (folder / name).write_text(json.dumps({"n": n}) + "\n")
+    got = bookmarks.bookmarked_scan(spark, str(tmp_path / "root"), str(tmp_path / "ledger"), 0, SCHEMA)
+    assert sorted(r["n"] for r in got.collect()) == [0, 1, 2, 3]
+
+
 def test_variant_mapping(spark, tmp_path):
     lines = ['{"v":1}', '{"v":"2"}', '{"v":[1,{"a":"b"}]}', '{"v":null}', "{}", '{"v":"x"}', '{"v":2.5}', '{"v":true}']
     (tmp_path / "in.json").write_text("\n".join(lines) + "\n")

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import file_stem, revision_prefix
+from tidemark.functions.text import file_stem, parent, revision_prefix
 from tidemark.operators.events import event_rule, open_envelopes, requested_revisions, unreadable_events
 from tidemark.operators.mapping import HEARTBEAT_MAPPING, Mapping, apply_mapping, failure_counts
 from tidemark.operators.messages import outbound_messages, split_oversize
@@ -38,9 +38,10 @@ from tidemark.operators.state import (
     update_revisions,
 )
 from tidemark.schemas import CORRUPT, KEYS, MESSAGE_LIMIT_BYTES, READY, SUCCESS
-from tidemark.sinks.csv import name_folders, write_csv, written_folders
+from tidemark.sinks.csv import name_folders, write_csv
+from tidemark.sinks.manifest import live_parts, publish
 from tidemark.sinks.messages import write_messages
-from tidemark.sources.assets import existing_folders, locate_assets, scan_assets, scan_folders
+from tidemark.sources.assets import common_folder, existing_folders, locate_assets, scan_assets, scan_folders
 
 #: Partition columns of the CSV output: one folder per asset.
 CSV_BY = [*KEYS, "asset_stem"]
@@ -52,10 +53,12 @@ class Feed:
 
     ``root`` is the folder asset keys are relative to; ``work`` holds the logs,
     messages and rejects, all by batch number: one series of numbers per ``work``
-    folder. ``named=False`` leaves the CSV in its partitioned layout
-    below ``root``: no renames, the better choice where a rename is a copy. ``inputs`` is
+    folder. The CSV stays in its partitioned layout below ``root``, and a manifest gives the
+    parts, bytes and rows of every named output (``feed_outputs``); ``named=True`` renames
+    each output from the driver instead. ``inputs`` is
     the folder below ``root`` that holds all data files, if there is one: a scan of more
-    folders than can be named reads that and not earlier outputs. A revision that can't be
+    folders than can be named reads that, or else the deepest folder common to the batch's
+    files. A revision that can't be
     exported is listed again by later batches, ``max_attempts`` times in all, and is then
     REJECTED until an event asks for it anew. After every ``snapshot_every`` batches the
     state is compacted.
@@ -73,7 +76,7 @@ class Feed:
     mode: str = "revision"
     limit_bytes: int = MESSAGE_LIMIT_BYTES
     list_rows: int = LIST_ROWS
-    named: bool = True
+    named: bool = False
     inputs: str = ""
     max_attempts: int = 8
     snapshot_every: int = 16
@@ -90,6 +93,10 @@ class Feed:
     def snapshots(self) -> str:
         return f"{self.work}/snapshots"
 
+    @property
+    def manifest(self) -> str:
+        return f"{self.work}/manifest"
+
     @property
     def quarantine(self) -> str:
         return f"{self.work}/quarantine"
@@ -206,19 +213,19 @@ def _write_csv(feed: Feed, assets: DataFrame, folders: list[str] | None, batch:
             feed.folder("corrupt_lines", batch)
         )
         return told
+
+    names = assets.select(*CSV_BY, F.col("csv_key").alias("target"))
     if feed.named:
         staging = feed.folder("staging", batch)
         write_csv(rows, staging, "overwrite", CSV_BY)
-        names = assets.select(*CSV_BY, F.col("csv_key").alias("target"))
         header = ",".join(c for c in rows.columns if c not in CSV_BY)
         name_folders(spark, staging, feed.root, names, CSV_BY, header)
         return stored(assets, feed.folder("csv_assets", batch)), counts()
     place = f"{feed.csv_prefix}/batch={batch}"
     write_csv(rows, f"{feed.root}/{place}", "overwrite", CSV_BY)
-    folders = written_folders(spark, f"{feed.root}/{place}", CSV_BY)
-    keyed = assets.drop("csv_key").join(
-        folders.select(*CSV_BY, F.concat(F.lit(f"{place}/"), "folder").alias("csv_key")), CSV_BY, "left"
-    )
+    parts = publish(spark, feed.root, place, names, CSV_BY, feed.manifest, batch)
+    folders = parts.groupBy(*CSV_BY).agg(parent(F.min("key")).alias("csv_key"))
+    keyed = assets.drop("csv_key").join(folders, CSV_BY, "left")
     return stored(keyed, feed.folder("csv_assets", batch)), counts()
 
 
@@ -240,7 +247,8 @@ def export(feed: Feed, spark: SparkSession, batch: int, clock: datetime) -> dict
         .withColumn("key", F.col("asset.key"))
         .withColumn("csv_key", F.concat(target, "asset_stem", F.lit(".csv")))
     )
-    folders = existing_folders(spark, scan_folders(wanted, feed.root, inputs=feed.inputs) or []) or None
+    narrowed = scan_folders(wanted, feed.root, inputs=feed.inputs) or common_folder(wanted, feed.root)
+    folders = existing_folders(spark, narrowed or []) or None
     assets = stored(_located(wanted, feed.root, folders), feed.folder("ready_assets", batch))
     rejects = stored(_rejected(ready, assets), feed.folder("rejects", batch))
     accepted = stored(
@@ -290,3 +298,8 @@ def feed_files(feed: Feed, spark: SparkSession) -> DataFrame:
     kind = f"{', '.join(f'{c} STRING' for c in KEYS)}, pos BIGINT, name STRING, key STRING, csv_key STRING, batch BIGINT"
     files = spark.read.schema(kind).parquet(f"{feed.work}/csv_assets")
     return files.join(done, [*KEYS, "batch"], "left_semi").drop("batch")
+
+
+def feed_outputs(feed: Feed, spark: SparkSession) -> DataFrame:
+    """The parts that each named output holds now, from the manifest (not for ``named=True``)."""
+    return live_parts(spark, feed.manifest, CSV_BY)

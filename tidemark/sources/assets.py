@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,8 +125,8 @@ def fixed_prefix(layout: str) -> str:
 
 
 def nameable_files(files: DataFrame, most: int = MAX_FOLDERS) -> list[str] | None:
-    """Paths of ``files`` if they are few and none would be read as a pattern."""
-    rows = _few(files.select("file_path"), most)
+    """Paths of ``files``, as readers take them, if they are few and none would be read as a pattern."""
+    rows = _few(files.select(decoded_path(F.col("file_path")).alias("file_path")), most)
     paths = [row["file_path"] for row in rows or []]
     return paths if rows is not None and _plain(paths) else None
 
@@ -183,6 +184,20 @@ def scan_folders(
     return whole
 
 
+def common_folder(assets: DataFrame, root: str) -> list[str] | None:
+    """The deepest folder below ``root`` that holds all assets, or None for ``root`` itself.
+
+    What the least and the greatest key begin with, all keys in between begin with: two
+    values pass through the driver, however many assets there are.
+    """
+    ends = assets.agg(F.min("key").alias("least"), F.max("key").alias("greatest")).first()
+    if ends["least"] is None:
+        return None
+    shared = commonprefix([ends["least"], ends["greatest"]]).rpartition("/")[0]
+    shared = _nameable(shared)
+    return [f"{root.rstrip('/')}/{shared}"] if shared else None
+
+
 def locate_assets(assets: DataFrame, root: str, folders: Sequence[str] | None = None) -> DataFrame:
     """``assets`` with the ``file_path`` and ``bytes`` of the file under their ``key``.
 

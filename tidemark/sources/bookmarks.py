@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.snapshots import numbered_folders
 from tidemark.schemas import HEARTBEAT
-from tidemark.sources.assets import MAX_FOLDERS, list_files, nameable_files, scan_assets, scan_folders
+from tidemark.sources.assets import MAX_FOLDERS, common_folder, list_files, nameable_files, scan_assets, scan_folders
 from tidemark.sources.json_lines import read_json_lines
 
 LEDGER = "key STRING, file_path STRING, bytes BIGINT, modified_at TIMESTAMP"
@@ -50,7 +50,7 @@ def bookmarked_scan(
     if named is not None and not named:
         empty = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
         return spark.createDataFrame([], empty).withColumn("key", F.lit(None).cast("string"))
-    folders = named or scan_folders(files, root)
+    folders = named or scan_folders(files, root) or common_folder(files, root)
     if named is None:
         return scan_assets(files.select("key", "file_path"), root, schema, folders=folders).drop("file_path")
     rows = read_json_lines(spark, named, schema).withColumn("file_path", F.col("_metadata.file_path"))
