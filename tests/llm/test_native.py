@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import sentence
@@ -131,6 +132,21 @@ def test_long_dialogue_comes_in_parts(spark):
         assert sum(len(r["masks"]) for r in parts) == 300
 
 
+def test_size_of_parts_is_a_choice(spark):
+    turns = [(7, i, ("system", "ann", "bob")[min(i, 1 + i % 2)], f"{i} " * 40) for i in range(60)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    for speaker in ("ann", "bob"):
+        text, masks = rendered([(r, t) for _, _, r, t in turns], speaker)
+        whole = [r for r in chat.rotate(df, part_chars=None).collect() if r["speaker"] == speaker]
+        assert [(r["part"], r["n_turns"], r["text"], [tuple(m) for m in r["masks"]]) for r in whole] == [(0, 60, text, masks)]
+        parts = [r for r in chat.rotate(df, part_chars=500).orderBy("part").collect() if r["speaker"] == speaker]
+        assert len(parts) > 10 and "".join(r["text"] for r in parts) == text
+        learnt = [r["text"][m["start"] : m["end"]] for r in parts for m in r["masks"]]
+        assert learnt == [text[a:b] for a, b in masks]
+    with pytest.raises(ValueError):
+        chat.rotate(df, part_chars=0)
+
+
 def test_sha_of_nothing(odd_docs):
     found = secret_scan.find_secrets(odd_docs).filter("doc_id = 3").select(
         F.sha2(secret_scan.spans_text(F.col("base")), 256).alias("d")

@@ -4,8 +4,10 @@ For every participant of a dialogue the whole dialogue is rendered with that spe
 the assistant, the others as named users and system turns as such. Masks are the
 character spans to learn from: what the assistant says, with the end mark.
 
-Long dialogues come in parts of about ``PART_CHARS`` characters, cut between turns, so that
-no group that Spark gathers is larger; short ones have the one part 0. Where a turn stands
+Long dialogues come in parts of about ``part_chars`` characters, cut between turns, so that
+no group that Spark gathers is larger; short ones have the one part 0. Parts put end to end
+are the whole rendering: a system turn stands in the part where it was said and isn't
+repeated. With ``part_chars=None`` every dialogue is one row, however long. Where a turn stands
 in its dialogue is a running sum over range partitions (a dialogue that holds most rows
 is spread over many) plus the sums of the partitions before, a small table.
 
@@ -55,8 +57,14 @@ def placed_turns(turns: DataFrame) -> DataFrame:
     return placed.select("conv_id", "role", "text", (F.col("_before") + F.col("_own")).alias("at"))
 
 
-def rotate(turns: DataFrame) -> DataFrame:
-    """conv_id, speaker, part, n_turns, text and masks: array of (start, end) in the part's text."""
+def rotate(turns: DataFrame, part_chars: int | None = PART_CHARS) -> DataFrame:
+    """conv_id, speaker, part, n_turns, text and masks: array of (start, end) in the part's text.
+
+    A part begins with the first turn at or after a multiple of ``part_chars`` characters,
+    roles and marks counted; None leaves dialogues whole, each gathered by one task.
+    """
+    if part_chars is not None and part_chars < 1:
+        raise ValueError("part_chars is at least 1, or None")
     placed = written(placed_turns(turns), "placed")
     speakers = placed.filter(F.col("role") != SYSTEM).select("conv_id", F.col("role").alias("speaker")).distinct()
     # written, so that the join reads plain exchanges and adaptive execution splits a hot dialogue
@@ -69,7 +77,7 @@ def rotate(turns: DataFrame) -> DataFrame:
         F.concat("text", F.lit(END)).alias("body"),
         own.alias("own"),
     )
-    part = F.floor(F.col("at") / PART_CHARS).cast("int").alias("part")
+    part = (F.lit(0) if part_chars is None else F.floor(F.col("at") / part_chars).cast("int")).alias("part")
     grouped = views.groupBy("conv_id", "speaker", part).agg(F.sort_array(F.collect_list(message)).alias("_turns"))
 
     def step(acc, m):

@@ -10,7 +10,8 @@ an explicit rule:
 * ``share``: to every section it meets, in proportion to its characters there.
 
 Where a character's bytes are split between tokens, each of them begins at that character;
-for ``share`` the character belongs to the one that holds its first byte.
+for ``share`` the character belongs to the one that holds its first byte, and a token that
+holds no first byte counts whole where the character of its bytes is.
 
 Sections are spans of the text: lines, or fields that were joined to one text. They may
 overlap or leave gaps; each is counted on its own.
