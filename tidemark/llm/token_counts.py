@@ -75,10 +75,13 @@ def attribute(
 ) -> np.ndarray:
     """Tokens (or shares of tokens) of every section [first, last)."""
     if rule == "share":
-        # tokens before a place, the one around it in part; ends that repeat count at once
-        places, amount = np.concatenate([[0], ends]), np.arange(len(ends) + 1, dtype=float)
-        final = np.r_[places[1:] > places[:-1], True]
-        at = lambda x: np.interp(x, places[final], amount[final])
+        # tokens that end by a place, and of the one around it the part before
+        places = np.concatenate([[0], ends, [np.inf]])
+
+        def at(x: np.ndarray) -> np.ndarray:
+            done = np.searchsorted(ends, x, "right")
+            return done + (x - places[done]) / (places[done + 1] - places[done])
+
         return np.where(last > first, at(last) - at(first), 0.0)
     point = 2 * starts if rule == "start" else starts + ends
     inside = np.searchsorted(point, 2 * last, "left") - np.searchsorted(point, 2 * first, "left")
