@@ -9,6 +9,10 @@ from tidemark.session import scratch
 
 BROADCAST_BYTES = 128 * 1024 * 1024
 
+#: What one task sorts at most, by rows and by bytes of the files they come from.
+TASK_ROWS = 250_000
+TASK_BYTES = 16 * 1024 * 1024
+
 
 def text_bytes(df: DataFrame) -> Column:
     """Upper estimate of a row's size: its JSON text plus a fixed row overhead."""
@@ -26,6 +30,15 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> Dat
     return F.broadcast(df) if measured <= limit_bytes else df
 
 
+def tasks_for(n_rows: int, file_bytes: int) -> int:
+    """How many tasks rows read from files are dealt out to, so that none grows with the input.
+
+    Spark sizes its tasks by compressed bytes: of narrow rows, which compress well, such a task
+    sorts millions.
+    """
+    return max(1, -(-n_rows // TASK_ROWS), -(-file_bytes // TASK_BYTES))
+
+
 def short_lists(
     df: DataFrame,
     keys: Sequence[str],

@@ -4,7 +4,9 @@ A snapshot holds the latest version of every key as of the end of one batch, par
 status, so it is the index by status too. It is never rewritten: a state is the newest
 snapshot, less the keys that later batches touched, plus the latest versions of those. Later
 batches are few, so their keys are broadcast when small enough and the snapshot's rows don't
-move; of a status that is asked for only its folder is read. A snapshot counts once Spark
+move. Rows that do move are dealt out by key to a number of tasks that grows with them (see
+``tasks_for``) before anything sorts them: a batch writes a key once a step, so a key has few
+rows. Of a status that is asked for only its folder is read. A snapshot counts once Spark
 has committed it (``_SUCCESS``); one that was being written when a run died is ignored and
 overwritten by the replay.
 """
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.latest import latest_by
-from tidemark.operators.sizing import broadcast_if_small
+from tidemark.operators.sizing import broadcast_if_small, tasks_for
 from tidemark.operators.state import STEP_UPDATE, drop_expired
 from tidemark.schemas import KEYS, STATE_LOG
 
@@ -51,17 +53,29 @@ def drop_snapshots(spark: SparkSession, snapshots: str, batch: int) -> None:
             fs.delete(place, True)
 
 
-def _tail(spark: SparkSession, log: str, after: int, as_of: tuple[int, int] | None) -> DataFrame:
-    """Versions written after batch ``after``, from the folders of those batches alone."""
+def _tasks(spark: SparkSession, rows: DataFrame, folders: Sequence[str]) -> int:
+    """Tasks for ``rows`` of ``folders``: rows and bytes come from footers and listings."""
+    sizes = []
+    for folder in folders:
+        place, fs = _file_system(spark, folder)
+        sizes.append(fs.getContentSummary(place).getLength())
+    return tasks_for(rows.count(), sum(sizes))
+
+
+def _tail(
+    spark: SparkSession, log: str, after: int, as_of: tuple[int, int] | None
+) -> tuple[DataFrame, list[str]]:
+    """Versions written after batch ``after``, from the folders of those batches alone, and the folders."""
     batches = [
         n for n in numbered_folders(spark, log, "batch") if n > after and (as_of is None or n <= as_of[0])
     ]
     if not batches:
-        return spark.createDataFrame([], STATE_LOG)
-    rows = spark.read.schema(STATE_LOG).option("basePath", log).parquet(*[f"{log}/batch={n}" for n in batches])
+        return spark.createDataFrame([], STATE_LOG), []
+    folders = [f"{log}/batch={n}" for n in batches]
+    rows = spark.read.schema(STATE_LOG).option("basePath", log).parquet(*folders)
     if as_of is not None:
         rows = rows.where((F.col("batch") < as_of[0]) | (F.col("step") <= as_of[1]))
-    return rows
+    return rows, folders
 
 
 def state_as_of(
@@ -82,9 +96,11 @@ def state_as_of(
         last = as_of[0] if as_of[1] >= STEP_UPDATE else as_of[0] - 1
         known = [n for n in known if n <= last]
     newest = known[-1] if known else -1
-    tail = _tail(spark, log, newest, as_of)
+    tail, folders = _tail(spark, log, newest, as_of)
+    n_tasks = _tasks(spark, tail, folders)
     if dataset_ids is not None:
         tail = tail.where(F.col("dataset_id").isin(*dataset_ids))
+    tail = tail.repartition(n_tasks, *KEYS)
     latest = latest_by(tail, KEYS, ["batch", "step"])
     if not known:
         return latest if status is None else latest.where(F.col("status") == status)
@@ -93,18 +109,32 @@ def state_as_of(
         base = base.where(F.col("dataset_id").isin(*dataset_ids))
     if status is not None:
         base, latest = (df.where(F.col("status") == status) for df in (base, latest))
-    kept = base.join(broadcast_if_small(tail.select(*KEYS).distinct()), KEYS, "left_anti")
+    touched = tail.select(*KEYS).distinct()
+    later = broadcast_if_small(touched)
+    if later is touched:
+        n_tasks = max(n_tasks, _tasks(spark, base, [f"{snapshots}/as_of={newest}"]))
+        base, later = base.repartition(n_tasks, *KEYS), touched.repartition(n_tasks, *KEYS)
+    kept = base.join(later, KEYS, "left_anti")
     return kept.select(*STATE_LOG.names).unionByName(latest)
 
 
 def write_snapshot(
     spark: SparkSession, log: str, snapshots: str, batch: int, now: Column | None = None
 ) -> None:
-    """Compact the log as of the end of ``batch``; rows expired at ``now`` are left out."""
+    """Compact the log as of the end of ``batch``; rows expired at ``now`` are left out.
+
+    A task sorts its rows by status to write them, so it gets a bounded number of them, whatever
+    their status: a few files for each status, and none too large.
+    """
     state = state_as_of(spark, log, snapshots, (batch, STEP_UPDATE))
+    known = [n for n in numbered_folders(spark, snapshots, "as_of", committed=True) if n <= batch]
+    tail, folders = _tail(spark, log, known[-1] if known else -1, (batch, STEP_UPDATE))
+    if known:
+        folders.append(f"{snapshots}/as_of={known[-1]}")
+        tail = tail.select(*KEYS).unionAll(spark.read.schema(SNAPSHOT).parquet(folders[-1]).select(*KEYS))
     if now is not None:
         state = drop_expired(state, now)
-    # rebalancing keeps the files even when nearly all rows share one status
-    state.hint("rebalance", "status").write.mode("overwrite").partitionBy("status").parquet(
+    n_tasks = _tasks(spark, tail, folders)
+    state.repartition(n_tasks, *KEYS).write.mode("overwrite").partitionBy("status").parquet(
         f"{snapshots}/as_of={batch}"
     )

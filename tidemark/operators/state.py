@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import time_text
 from tidemark.operators.latest import latest_by
+from tidemark.operators.sizing import tasks_for
 from tidemark.schemas import ASSET_LOG, KEYS, READY, REJECTED, STATE_LOG
 
 #: Order of two versions of a key written by the same batch.
@@ -123,9 +124,10 @@ def ready_revisions(state: DataFrame, dataset_ids: Sequence[str] | None = None,
 
 
 def write_by_status(state: DataFrame, path: str, status: str = "status") -> None:
-    """Snapshot partitioned by status. Rebalancing keeps the files even when nearly
-    all rows share one status."""
-    state.hint("rebalance", status).write.mode("overwrite").partitionBy(status).parquet(path)
+    """Snapshot partitioned by status. A task sorts its rows by status to write them, so they are
+    counted and dealt out by key in bounded numbers, whatever their status."""
+    n_tasks = tasks_for(state.count(), 0)
+    state.repartition(n_tasks, *KEYS).write.mode("overwrite").partitionBy(status).parquet(path)
 
 
 def revisions_by_status(snapshot: DataFrame, status: str, column: str = "status") -> DataFrame:
