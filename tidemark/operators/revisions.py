@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import revision_prefix
 from tidemark.operators.sizing import broadcast_if_small, chunked_lists, numbered, short_lists
 from tidemark.schemas import DATASET_NAME, KEYS, MANIFEST_PREFIX
+from tidemark.session import scratch
 
 #: Revisions with more data files than this keep only the tall form.
 LIST_ROWS = 512
@@ -75,10 +76,13 @@ def revision_headers(listing: DataFrame, manifest_prefix: str = MANIFEST_PREFIX)
 def pack_data_files(assets: DataFrame, max_rows: int = LIST_ROWS) -> DataFrame:
     """``map<dataset_name, list of assets in listing order>`` per revision.
 
-    A revision is packed whole or not at all: over ``max_rows`` the map is NULL.
+    A revision is packed whole or not at all: over ``max_rows`` the map is NULL. The few that
+    are so long are counted first, so that their assets are neither sorted nor moved.
     """
+    counts = assets.where(F.col(KEYS[0]).isNotNull() & F.col(KEYS[1]).isNotNull()).groupBy(*KEYS)
+    long = counts.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows).select(*KEYS)
     lists = short_lists(
-        assets,
+        assets.join(broadcast_if_small(long), KEYS, "left_anti"),
         KEYS,
         ["pos", "name"],
         F.struct("dataset_name", "asset"),
@@ -95,7 +99,9 @@ def pack_data_files(assets: DataFrame, max_rows: int = LIST_ROWS) -> DataFrame:
             ).alias("value"),
         ),
     )
-    return lists.select(*KEYS, F.map_from_entries(grouped).alias("data_files"))
+    packed = lists.select(*KEYS, F.map_from_entries(grouped).alias("data_files"))
+    kind = packed.schema["data_files"].dataType
+    return packed.unionByName(long.withColumn("data_files", F.lit(None).cast(kind)))
 
 
 def asset_chunks(assets: DataFrame, rows: int = 1000, path: str | None = None) -> DataFrame:
@@ -141,8 +147,12 @@ def every_asset(
     """``explode_assets`` of every revision, however many files it has.
 
     ``assets`` are the tall rows (see ``data_assets``). They serve the revisions whose map is
-    NULL because their list was too long for one row; all others come from their map.
+    NULL because their list was too long for one row; all others come from their map. The
+    revisions are written once, since they are read four times.
     """
+    path = scratch(revisions.sparkSession, "revisions")
+    revisions.write.parquet(path)
+    revisions = revisions.sparkSession.read.schema(revisions.schema).parquet(path)
     keep = [c for c in revisions.columns if c != files]
     short = explode_assets(revisions.where(F.col(files).isNotNull()), dataset_name, files)
     long = revisions.where(F.col(files).isNull() & (F.col("n_data_files") > 0)).select(*keep)

@@ -94,24 +94,24 @@ def numbered(
 ) -> DataFrame:
     """``df`` with each row's place, from 0 and without gaps, along ``order`` within its keys.
 
-    Range partitioning on (keys, order) spreads a long group over many tasks. The ranges are
-    written (to ``path``) with their number first, so a stage that is run again finds the
-    same ones; then the rows of a key in earlier ranges are added up, a number for each range
-    and key, and a row's place is that sum plus its place within its range. No task holds a
-    group. Keys must not be NULL; rows of equal order are told apart by their other columns.
+    Range partitioning on (keys, order) spreads a long group over many tasks. The sorted ranges
+    are written (to ``path``) with their number and each row's place in them first, so a stage
+    that is run again finds the same ones; then the rows of a key in earlier ranges are added up,
+    a number for each range and key, and a row's place is that sum plus its place among the key's
+    rows of its range. The rows are shuffled and sorted once, and no task holds a group. Keys must not be NULL; rows of equal order are told apart by their other columns.
     """
     spark = df.sparkSession
     path = path or scratch(spark, "ranges")
-    ties = F.xxhash64(*df.columns)
-    ranged = df.withColumn("_tie", ties).repartitionByRange(*keys, *order, "_tie")
-    ranged.withColumn("_part", F.spark_partition_id()).write.mode("overwrite").parquet(path)
-    rows = spark.read.parquet(path)
-    counts = rows.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    by = [*keys, *order, "_tie"]
+    ranged = df.withColumn("_tie", F.xxhash64(*df.columns)).repartitionByRange(*by).sortWithinPartitions(*by)
+    # the number of the range in the high bits, the row's place in the range in the low ones
+    ranged.withColumn("_at", F.monotonically_increasing_id()).drop("_tie").write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_at", 33))
+    counts = rows.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*keys, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
-    within = F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order, "_tie")) - 1
-    placed = rows.withColumn("_within", within).join(starts, [*keys, "_part"])
-    return placed.select(*df.columns, (F.col("_start") + F.col("_within")).alias(name))
+    starts = counts.select(*keys, "_part", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    placed = rows.join(starts, [*keys, "_part"])
+    return placed.select(*df.columns, (F.col("_start") + F.col("_at") - F.col("_first")).alias(name))
 
 
 def chunked_lists(
