@@ -13,7 +13,7 @@ from checkset.scans import EVENT_LINE, write_data_files
 from tidemark.functions.status import COMPLETED, ERROR
 from tidemark.functions.text import decoded_path, parent
 from tidemark.operators.events import parse_events
-from tidemark.plans.feed import Feed, feed_state, run_batch
+from tidemark.plans.feed import Feed, feed_state, run_batch, stored
 from tidemark.schemas import KEYS
 from tidemark.session import scratch
 from tidemark.sinks.csv import CSV_OPTIONS
@@ -248,6 +248,8 @@ def jobs_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # jobs of one name are one job
     per = jobs.groupBy("l_suppkey").agg(F.count_distinct("job_id").alias("n_jobs"))
+    # counted once, not again with every drop
+    per = stored(per, scratch(spark, "per"))
     jobs = jobs.join(per, "l_suppkey")
     late = spark.createDataFrame([(-1, "none", "RUNNING", 0, 2)], "l_suppkey long, job_id string, state string, l_linenumber int, n_jobs long")
     late = late.withColumn("ts", F.lit("2024-03-01").cast("timestamp"))

@@ -1,5 +1,7 @@
 """Keyed state with timers: exact-span de-duplication and job tracking as streams."""
 
+import json
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -48,46 +50,73 @@ def dedup_within_span_stream(
     )
 
 
+def _packed(jobs: set) -> bytes:
+    """Names of jobs in a few bytes each: names of one key have much in common."""
+    return zlib.compress(json.dumps(sorted(jobs, key=lambda j: (j is not None, j or ""))).encode(), 1)
+
+
+def _unpacked(jobs: bytes) -> set:
+    return set(json.loads(zlib.decompress(jobs))) if jobs else set()
+
+
 def track_jobs(events: DataFrame, keys: Sequence[str], ts: str, wait_millis: int) -> DataFrame:
     """One row per key when its jobs are settled: COMPLETED, ERROR, or TIMED_OUT.
 
     ``events`` has the keys, job_id, state, n_jobs (how many jobs the key has) and a watermark
     on ``ts``. A key is COMPLETED once all its jobs are, ERROR with the first failed one, and
     TIMED_OUT when the watermark passes ``wait_millis`` after its first event. Held per key:
-    the jobs done so far, and after settling only that it is settled, for the same wait.
+    the jobs done so far, compressed, and after settling only that it is settled, for the same
+    wait. The rows of a key are put in order only if their order decides.
     """
     outcome = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema.fields if f.name in keys)
-    held = "first BIGINT, done ARRAY<STRING>, settled BOOLEAN"
+    held = "first BIGINT, done BINARY, n_done BIGINT, settled BOOLEAN"
 
     def follow(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         def told(status: str, n_done: int) -> pd.DataFrame:
-            return pd.DataFrame([(*key, status, n_done)], columns=[*keys, "status", "n_done"])
+            return pd.DataFrame({**{k: [v] for k, v in zip(keys, key, strict=True)}, "status": [status], "n_done": [n_done]})
 
         if state.hasTimedOut:
-            _, done, settled = state.get
+            _, _, n_done, settled = state.get
             state.remove()
             if not settled:
-                yield told(TIMED_OUT, len(done))
+                yield told(TIMED_OUT, n_done)
             return
-        rows = pd.concat(list(frames), ignore_index=True).sort_values([ts, "job_id"], kind="stable")
-        first, done, settled = state.get if state.exists else (None, [], False)
-        done = set(done)
-        at = rows[ts].astype("datetime64[ms]").astype("int64")
-        first = int(at.min()) if first is None else min(first, int(at.min()))
-        for job, now, n_jobs in zip(rows["job_id"], rows["state"], rows["n_jobs"], strict=True):
-            if settled:
-                break
-            if now == ERROR:
-                settled = True
-                yield told(ERROR, len(done))
-            elif now == COMPLETED:
-                done.add(job)
-                if len(done) >= n_jobs:
-                    settled = True
-                    yield told(COMPLETED, len(done))
-        state.update((first, [] if settled else sorted(done), settled))
+        parts = list(frames)
+        first, packed, n_done, settled = state.get if state.exists else (None, b"", 0, False)
+        at = min(int(part[ts].to_numpy().astype("datetime64[ms]").astype("int64").min()) for part in parts if len(part))
+        first = at if first is None else min(first, at)
+        done, outcomes = set(), []
+        if not settled:
+            done = _unpacked(packed)
+            states = [s for part in parts for s in part["state"].tolist()]
+            wanted = {n for part in parts for n in part["n_jobs"].unique().tolist()}
+            n_jobs = wanted.pop()
+            if not wanted and n_jobs > len(done) and ERROR not in states:
+                # whatever their order, the key is complete with the job that makes up the number
+                jobs = (job for part in parts for job in part["job_id"].tolist())
+                done.update(job for job, now in zip(jobs, states, strict=True) if now == COMPLETED)
+                outcomes = [(COMPLETED, n_jobs)] if len(done) >= n_jobs else []
+            else:
+                rows = pd.concat(parts, ignore_index=True).sort_values([ts, "job_id"], kind="stable")
+                outcomes = _settling(rows, done)
+        for status, n in outcomes:
+            settled = True
+            yield told(status, int(n))
+        state.update((first, b"" if settled else _packed(done), len(done), settled))
         state.setTimeoutTimestamp(max(first + wait_millis, state.getCurrentWatermarkMs()) + 1)
 
     return events.groupBy(*keys).applyInPandasWithState(
         follow, f"{outcome}, status STRING, n_done BIGINT", held, "append", GroupStateTimeout.EventTimeTimeout
     )
+
+
+def _settling(rows: pd.DataFrame, done: set) -> list[tuple[str, int]]:
+    """What settles the key among its ordered ``rows``, if anything; adds to ``done`` what comes before."""
+    for job, now, n_jobs in zip(rows["job_id"], rows["state"], rows["n_jobs"], strict=True):
+        if now == ERROR:
+            return [(ERROR, len(done))]
+        if now == COMPLETED:
+            done.add(job)
+            if len(done) >= n_jobs:
+                return [(COMPLETED, len(done))]
+    return []
